@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("book",)
+_MODULES = ("book", "profile", "binning")
 
 
 def load_all() -> None:
