@@ -67,14 +67,14 @@ if __name__ == "__main__":
     bad = []
     for n in names:
         start = time.time()
-        if n in entry.oracle_sql():
-            try:
+        try:
+            if n in entry.oracle_sql():
                 diffs = compare(spark, n, con=con)
-            except Exception as exc:  # noqa: BLE001
-                diffs = [f"{type(exc).__name__}: {str(exc)[:1500]}"]
-        else:
-            rows = entry.queries()[n](spark, SF_DIR).count()
-            diffs = [] if rows else ["no rows"]
+            else:
+                rows = entry.queries()[n](spark, SF_DIR).collect()
+                diffs = [] if rows else ["no rows"]
+        except Exception as exc:  # noqa: BLE001
+            diffs = [f"{type(exc).__name__}: {str(exc)[:1500]}"]
         print(f"{'ok ' if not diffs else 'BAD'} {n} {time.time() - start:.1f}s {len(diffs) or ''}", flush=True)
         for d in diffs[:4]:
             print("    ", d[:1200], flush=True)

@@ -100,4 +100,5 @@ def count_below(col: Column, thresholds: list[float], inclusive: bool = False) -
     rest = F.coalesce(
         F.get(F.array(*[double_array(b) for b in blocks]), full), F.array().cast("array<double>")
     )
-    return F.when(col.isNotNull(), full * width + hits_in(rest))
+    # The last block may be short, so a value above everything must not count past the list.
+    return F.when(col.isNotNull(), F.least(full * width + hits_in(rest), F.lit(len(thresholds))))

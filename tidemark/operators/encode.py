@@ -152,12 +152,12 @@ def out_of_fold_encoding(df: DataFrame, column: str, target: str, fold: str, out
     variance = other["q"] / other["n"] - mean * mean
     n = F.nullif(rest["n"], F.lit(0).cast("bigint"))
     table = mine.select(
-        F.col("_c").alias("_category"),
-        F.col("_f").alias("_fold"),
-        F.coalesce(_blend(n, rest["s"], rest["q"], mean, variance), mean).alias("_encoding"),
+        F.col("_c").alias("_of_category"),
+        F.col("_f").alias("_of_fold"),
+        F.coalesce(_blend(n, rest["s"], rest["q"], mean, variance), mean).alias("_of_code"),
     )
-    on = F.col(column).eqNullSafe(F.col("_category")) & (F.col(fold) == F.col("_fold"))
-    return df.join(table, on, "left").select(*df.columns, F.col("_encoding").alias(out))
+    on = F.col(column).eqNullSafe(F.col("_of_category")) & (F.col(fold) == F.col("_of_fold"))
+    return df.join(table, on, "left").select(*df.columns, F.col("_of_code").alias(out))
 
 
 @dataclass(frozen=True)

@@ -1,6 +1,6 @@
 """Supervised bins of one numeric column by a best-first gini tree.
 
-The column is summed to its distinct values with running totals, checkpointed once; a split
+The column is summed to its distinct values with running totals, written once; a split
 round is then one map-side-combined scan that returns the best cut of the newest leaves.
 """
 
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.scalars import count_below
 from tidemark.operators.ordered import running_totals
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import materialize
 
 _INF = float("inf")
 
@@ -33,14 +33,15 @@ def tree_bins(
 ) -> DataFrame:
     """(Leaf, Taxa_de_Evento, Volume, Lower_Bound, Upper_Bound), one row per leaf in value order."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     x = F.col(column).cast("double")
     rows = df.where(x.isNotNull() & ~F.isnan(x) & F.col(target).isNotNull()).select(
         x.alias("x"), F.col(target).cast("bigint").alias("y")
     )
-    steps = running_totals(
-        rows, "x", {"n": F.count(F.lit(1)), "e": F.sum("y")}, descending=False, range_rows=range_rows
-    ).checkpoint()
+    steps = materialize(
+        running_totals(
+            rows, "x", {"n": F.count(F.lit(1)), "e": F.sum("y")}, descending=False, range_rows=range_rows
+        )
+    )
     whole = steps.agg(
         F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("n").alias("n"), F.sum("e").alias("e")
     ).first()

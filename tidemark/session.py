@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_CONF = {
     # Stored timestamps carry no zone; one fixed zone makes day arithmetic repeatable.
@@ -51,3 +52,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
     else:
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back.
+
+    For frames that several jobs read: they stay columnar, can be pruned, and a lost executor
+    costs a read instead of the whole lineage.
+    """
+    path = shared_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def shared_path(spark: SparkSession) -> str:
+    """A new path below the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/tidemark-{uuid.uuid4().hex}"
