@@ -11,6 +11,7 @@ from queries.registry import query, sql_round
 from tidemark.operators import describe, stability
 from tidemark.plans.book import build_book
 from tidemark.plans.label import label_inactivity
+from tidemark.session import materialize
 from tidemark.sources.fixtures import CUSTOMER_SPEC, book_tables, table
 
 _VINTAGES = f"""ref AS ({abt_dates_cte()}), {_LABEL.strip()},
@@ -80,9 +81,9 @@ def _(spark, sf_dir):
                {sql_round("100 * (" + _METRIC_COLS["gini"] + ")", 6)} AS "Gini" FROM curve GROUP BY g""",
 )
 def _(spark, sf_dir):
-    return rounded(
-        stability.ks_gini_by_vintage(_vintages(spark, sf_dir), "flag_churn_3m", "idade_dias_ult_venda", "dt_ref")
-    )
+    # Read by two jobs, so it is written once.
+    rows = materialize(_vintages(spark, sf_dir).select("dt_ref", "idade_dias_ult_venda", "flag_churn_3m"))
+    return rounded(stability.ks_gini_by_vintage(rows, "flag_churn_3m", "idade_dias_ult_venda", "dt_ref"))
 
 
 @query(

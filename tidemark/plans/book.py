@@ -18,16 +18,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-from tidemark.functions.scalars import (
-    count_below,
-    days_between,
-    money_units,
-    ratio,
-    strict_least,
-    whole_ratio,
-)
+from pyspark.sql import Column, DataFrame, functions as F
+
+from tidemark.functions.scalars import count_below
 from tidemark.plans.spec import BookSpec, shift_months
 
 _BY_ORDER, _BY_PRODUCT, _NO_ITEM = "order", "product", "none"
@@ -65,7 +58,7 @@ class Timeline:
         micros = F.unix_micros(ts.cast("timestamp"))
         return count_below(micros, [_micros(c) for c in self.cuts], inclusive=True)
 
-    def covering(self) -> Column:
+    def covering(self) -> str:
         """Literal array: for each segment the (dt_ref, first segment of its window) pairs."""
         position = {c: i + 1 for i, c in enumerate(self.cuts)}
         spans = [(d, position[shift_months(d, -self.window_months)], position[d]) for d in self.dates]
@@ -78,16 +71,50 @@ class Timeline:
                 if lo <= seg < hi
             ]
             cells.append(f"array({', '.join(hits)})" if hits else empty)
-        return F.expr(f"array({', '.join(cells)})")
+        return f"array({', '.join(cells)})"
 
 
 def _micros(day: date) -> int:
     return (day - date(1970, 1, 1)).days * 86_400_000_000
 
 
-def _month_bit(ts: str) -> Column:
-    """One bit per calendar month, so that OR-ing counts distinct months without a shuffle."""
-    return F.call_function("shiftleft", F.lit(1), F.month(ts) - 1)
+def _days(later: str, earlier: str) -> str:
+    return f"(unix_micros({later}) - unix_micros({earlier})) / 86400000000D"
+
+
+# One bit per calendar month, so that OR-ing counts distinct months without a shuffle.
+_MONTH_BIT = "shiftleft(1, month(approved) - 1)"
+
+# Order-grain measures, before they are weighted.
+_REVIEW_SUMS = {
+    "s_scored": "r_scored",
+    "s_score": "r_sum",
+    "s_ids": "r_ids",
+    "s_good": "r_good",
+    "s_poor": "r_poor",
+}
+_DELAY_SUMS = {
+    "s_rows": "{w}",
+    "s_late": "late * {w}",
+    "s_days_late": "days_late * {w}",
+    "s_days_planned": "days_planned * {w}",
+    "s_planned": "CASE WHEN days_planned IS NOT NULL THEN {w} END",
+}
+_ORDER_MEASURES = [*_REVIEW_SUMS, *_DELAY_SUMS]
+# Item-grain measures: rows, rows with a product, priced rows and money.
+_ITEM_MEASURES = {
+    "m_rows": "{w}",
+    "m_products": "CASE WHEN product IS NOT NULL THEN {w} END",
+    "m_priced": "CASE WHEN price IS NOT NULL THEN {w} END",
+    "m_price": "price * {w}",
+    "m_freighted": "CASE WHEN freight IS NOT NULL THEN {w} END",
+    "m_freight": "freight * {w}",
+}
+
+
+def _order_measures(weight: str) -> list[str]:
+    sums = {**_REVIEW_SUMS, **{k: v.format(w=weight) for k, v in _DELAY_SUMS.items()}}
+    return [f"{v} AS {k}" for k, v in sums.items()]
 
 
 def build_book(
@@ -105,148 +132,123 @@ def build_book(
     parts = _item_facts(tables, orders, line, spec, fanout).unionByName(
         _itemless_facts(tables, orders, spec), allowMissingColumns=True
     )
-    metrics = _per_vintage(parts, line, spec, fanout)
+    metrics = _per_vintage(parts, line, spec)
     return _with_geo(metrics, tables.geo, spec)
 
 
 def _order_facts(tables: BookTables, line: Timeline, spec: BookSpec) -> DataFrame:
     """Delivered orders before the last reference date with their review sums."""
-    last = F.lit(line.dates[-1]).cast("timestamp")
-    o = F.col
-    approved = o(spec.approved).cast("timestamp")
-    delivered, estimated = o(spec.delivered).cast("timestamp"), o(spec.estimated).cast("timestamp")
-    late = F.coalesce(estimated < delivered, F.lit(False))
-    entity = [o(spec.entity).alias("entity")] if spec.entity_on == "orders" else []
-    orders = tables.orders.where((o(spec.status) == spec.status_value) & (approved < last)).select(
-        o(spec.order_id).alias("order_id"),
-        *entity,
-        approved.alias("approved"),
-        line.segment(approved).alias("segment"),
-        late.cast("bigint").alias("late"),
-        F.when(late, days_between(delivered, estimated)).otherwise(0.0).alias("days_late"),
-        days_between(estimated, o(spec.purchased)).alias("days_planned"),
-    )
-    score = o(spec.review_score)
-    reviews = (
-        tables.reviews.groupBy(o(spec.order_id).alias("order_id"))
-        .agg(
-            F.count(F.lit(1)).alias("r_rows"),
-            F.count(spec.review_id).alias("r_ids"),
-            F.count(score).alias("r_scored"),
-            F.sum(score).cast("double").alias("r_sum"),
-            F.max(score).cast("double").alias("r_max"),
-            F.min(score).cast("double").alias("r_min"),
-            F.count_if(score >= 4).alias("r_good"),
-            F.count_if(score < 4).alias("r_poor"),
+    entity = [f"{spec.entity} AS entity"] if spec.entity_on == "orders" else []
+    late = "coalesce(estimated < delivered, false)"
+    orders = (
+        tables.orders.where(
+            f"{spec.status} = '{spec.status_value}' AND {spec.approved} < DATE'{line.dates[-1].isoformat()}'"
+        )
+        .selectExpr(
+            f"{spec.order_id} AS order_id",
+            *entity,
+            f"CAST({spec.approved} AS timestamp) AS approved",
+            f"CAST({spec.purchased} AS timestamp) AS purchased",
+            f"CAST({spec.delivered} AS timestamp) AS delivered",
+            f"CAST({spec.estimated} AS timestamp) AS estimated",
+        )
+        .withColumn("segment", line.segment(F.col("approved")))
+        .selectExpr(
+            "order_id",
+            *(["entity"] if entity else []),
+            "approved",
+            "segment",
+            f"CAST({late} AS bigint) AS late",
+            f"CASE WHEN {late} THEN {_days('delivered', 'estimated')} ELSE 0D END AS days_late",
+            f"{_days('estimated', 'purchased')} AS days_planned",
         )
     )
-    sums = ["r_ids", "r_scored", "r_sum", "r_good", "r_poor"]
-    return (
-        orders.join(reviews, "order_id", "left")
-        .withColumn("weight", F.greatest(F.coalesce("r_rows", F.lit(0)), F.lit(1)).cast("bigint"))
-        .fillna(0, subset=sums)
-        .drop("r_rows")
+    score = spec.review_score
+    reviews = tables.reviews.sparkSession.sql(
+        f"""
+        SELECT {spec.order_id} AS order_id, count(1) AS r_rows, count({spec.review_id}) AS ids,
+               count({score}) AS scored, CAST(sum({score}) AS double) AS total,
+               CAST(max({score}) AS double) AS r_max, CAST(min({score}) AS double) AS r_min,
+               count(CASE WHEN {score} >= 4 THEN 1 END) AS good, count(CASE WHEN {score} < 4 THEN 1 END) AS poor
+        FROM {{reviews}} GROUP BY {spec.order_id}
+        """,
+        reviews=tables.reviews,
+    )
+    return orders.join(reviews, "order_id", "left").selectExpr(
+        *orders.columns,
+        "r_max",
+        "r_min",
+        "coalesce(ids, 0L) AS r_ids",
+        "coalesce(scored, 0L) AS r_scored",
+        "coalesce(total, 0D) AS r_sum",
+        "coalesce(good, 0L) AS r_good",
+        "coalesce(poor, 0L) AS r_poor",
+        "greatest(coalesce(r_rows, 0L), 1L) AS weight",
     )
-
-
-def _order_sums(reviews_by: Column, weight: Column) -> dict[str, Column]:
-    """Order-grain measures: reviews times ``reviews_by``, delays times ``weight``."""
-    c = F.col
-    return {
-        "s_scored": c("r_scored") * reviews_by,
-        "s_score": c("r_sum") * reviews_by,
-        "s_ids": c("r_ids") * reviews_by,
-        "s_good": c("r_good") * reviews_by,
-        "s_poor": c("r_poor") * reviews_by,
-        "s_rows": weight,
-        "s_late": c("late") * weight,
-        "s_days_late": c("days_late") * weight,
-        "s_days_planned": c("days_planned") * weight,
-        "s_planned": F.when(c("days_planned").isNotNull(), weight),
-    }
 
 
 def _item_facts(
     tables: BookTables, orders: DataFrame, line: Timeline, spec: BookSpec, fanout: str
 ) -> DataFrame:
     """Aggregates per (entity, segment, order) and per (entity, segment, product)."""
-    c = F.col
-    entity = [] if spec.entity_on == "orders" else [c(spec.entity).alias("entity")]
-    items = tables.items.select(
-        c(spec.order_id).alias("order_id"),
+    entity = [] if spec.entity_on == "orders" else [f"{spec.entity} AS entity"]
+    scale = spec.money_scale
+
+    def units(money: str) -> str:
+        # Whole units, so that sums do not depend on row order.
+        return f"CAST(CAST({money} AS decimal(18, {scale})) * {10**scale} AS bigint)"
+
+    items = tables.items.selectExpr(
+        f"{spec.order_id} AS order_id",
         *entity,
-        c(spec.product).alias("product"),
-        money_units(c(spec.price), spec.money_scale).alias("price"),
-        money_units(c(spec.freight), spec.money_scale).alias("freight"),
+        f"{spec.product} AS product",
+        f"{units(spec.price)} AS price",
+        f"{units(spec.freight)} AS freight",
     )
-    joined = items.join(orders, "order_id", "inner")
+    weight = "weight" if fanout == "reference" else "1L"
+    # Order measures repeat on every item of an order: summing them over items keeps the
+    # row-multiplying reading, one value per (entity, order) gives the corrected one.
+    per_order, order_grain = ("sum", 0) if fanout == "reference" else ("max", 1)
     # Orders before every window only matter for the first sale; they collapse to one key each.
-    inside = c("segment") > 0
-    weight = c("weight") if fanout == "reference" else F.lit(1).cast("bigint")
-    order_sums = _order_sums(F.lit(1).cast("bigint"), weight)
-    measured = joined.select(
+    measured = items.join(orders, "order_id", "inner").selectExpr(
         "entity",
         "segment",
         "approved",
-        F.when(inside, c("order_id")).alias("order_id"),
-        F.when(inside, c("product")).alias("product"),
-        weight.alias("m_rows"),
-        F.when(c("product").isNotNull(), weight).alias("m_products"),
-        F.when(c("price").isNotNull(), weight).alias("m_priced"),
-        (c("price") * weight).alias("m_price"),
-        F.when(c("freight").isNotNull(), weight).alias("m_freighted"),
-        (c("freight") * weight).alias("m_freight"),
+        "CASE WHEN segment > 0 THEN order_id END AS order_id",
+        "CASE WHEN segment > 0 THEN product END AS product",
+        *[f"{v.format(w=weight)} AS {k}" for k, v in _ITEM_MEASURES.items()],
         "r_ids",
         "r_max",
         "r_min",
-        *[v.alias(k) for k, v in order_sums.items()],
-    )
-    item_cols = ["m_rows", "m_products", "m_priced", "m_price", "m_freighted", "m_freight"]
-    # Order measures repeat on every item of an order: weighted sums over items keep the
-    # row-multiplying reading, one value per (entity, order) the corrected one.
-    per_order = F.sum if fanout == "reference" else F.max
-    grouped = measured.groupingSets(
-        [["entity", "segment", "order_id"], ["entity", "segment", "product"]],
-        "entity",
-        "segment",
-        "order_id",
-        "product",
-    ).agg(
-        F.grouping("product").alias("of_order"),
-        F.min("approved").alias("first_at"),
-        F.max("approved").alias("last_at"),
-        F.bit_or(_month_bit("approved")).alias("months"),
-        F.max("r_ids").alias("o_reviews"),
-        F.max("r_max").alias("r_max"),
-        F.min("r_min").alias("r_min"),
-        *[F.sum(m).alias(m) for m in item_cols],
-        *[per_order(k).alias(k) for k in order_sums],
+        *_order_measures(weight),
     )
-    of_order = c("of_order") == 1
-    order_rows = of_order if fanout == "preaggregate" else ~of_order
-    facts = grouped.select(
-        "entity",
-        "segment",
-        "order_id",
-        "product",
-        "first_at",
-        "last_at",
-        "months",
-        "r_max",
-        "r_min",
-        F.when(of_order, F.lit(_BY_ORDER)).otherwise(F.lit(_BY_PRODUCT)).alias("grain"),
-        F.when(of_order, F.lit(1)).otherwise(0).cast("bigint").alias("n_orders"),
-        F.when(of_order, c("o_reviews")).alias("n_reviews"),
-        *[F.when(~of_order, c(m)).alias(m) for m in item_cols],
-        *[F.when(order_rows, c(k)).alias(k) for k in order_sums],
+    facts = tables.items.sparkSession.sql(
+        f"""
+        SELECT entity, segment, order_id, product, first_at, last_at, months, r_max, r_min,
+          CASE WHEN of_order = 1 THEN '{_BY_ORDER}' ELSE '{_BY_PRODUCT}' END AS grain,
+          CASE WHEN of_order = 1 AND segment > 0 THEN 1L ELSE 0L END AS n_orders,
+          CASE WHEN of_order = 1 THEN o_reviews END AS n_reviews,
+          {", ".join(f"CASE WHEN of_order = 0 THEN {m} END AS {m}" for m in _ITEM_MEASURES)},
+          {", ".join(f"CASE WHEN of_order = {order_grain} THEN {m} END AS {m}" for m in _ORDER_MEASURES)}
+        FROM (
+          SELECT entity, segment, order_id, product, grouping(product) AS of_order,
+            min(approved) AS first_at, max(approved) AS last_at, bit_or({_MONTH_BIT}) AS months,
+            max(r_ids) AS o_reviews, max(r_max) AS r_max, min(r_min) AS r_min,
+            {", ".join(f"sum({m}) AS {m}" for m in _ITEM_MEASURES)},
+            {", ".join(f"{per_order}({m}) AS {m}" for m in _ORDER_MEASURES)}
+          FROM {{measured}}
+          GROUP BY GROUPING SETS ((entity, segment, order_id), (entity, segment, product)))
+        """,
+        measured=measured,
     )
     facts = _with_category(facts, tables.products, spec)
     if len(line.dates) == 1:
         return facts.withColumn("prev_segment", F.lit(None).cast("int"))
     # A product sold in several segments of a window counts once: remember its previous segment.
-    runs = Window.partitionBy("grain", "entity", "product", "order_id").orderBy("segment")
-    return facts.withColumn(
-        "prev_segment", F.lag(F.when(c("segment") > 0, c("segment"))).over(runs)
+    return facts.selectExpr(
+        "*",
+        """lag(CASE WHEN segment > 0 THEN segment END)
+           OVER (PARTITION BY grain, entity, product, order_id ORDER BY segment) AS prev_segment""",
     )
 
 
@@ -255,126 +257,128 @@ def _with_category(facts: DataFrame, products: DataFrame, spec: BookSpec) -> Dat
 
     Rows without a product match nothing; a second key spreads them over the partitions.
     """
-    c = F.col
-    lookup = products.select(
-        c(spec.product).alias("p_id"),
-        c(spec.category).alias("category"),
-        c(spec.product).isNull().cast("int").alias("p_spread"),
+    lookup = products.selectExpr(
+        f"{spec.product} AS product_key",
+        f"{spec.category} AS category",
+        f"CAST({spec.product} IS NULL AS int) AS product_spread",
+    )
+    keyed = facts.selectExpr(
+        "*", "CASE WHEN product IS NULL THEN 1 + pmod(hash(entity, order_id), 4096) ELSE 0 END AS spread"
     )
-    spread = F.when(c("product").isNull(), 1 + F.pmod(F.hash("entity", "order_id"), F.lit(4096))).otherwise(0)
-    keyed = facts.withColumn("f_spread", spread)
-    on = (c("product") == c("p_id")) & (c("f_spread") == c("p_spread"))
-    return keyed.join(lookup, on, "left").drop("p_id", "p_spread", "f_spread")
+    on = F.expr("product = product_key AND spread = product_spread")
+    return keyed.join(lookup, on, "left").drop("product_key", "product_spread", "spread")
 
 
 def _itemless_facts(tables: BookTables, orders: DataFrame, spec: BookSpec) -> DataFrame:
     """Orders that have no item at all; without an entity of their own only the windows matter."""
-    c = F.col
-    with_items = tables.items.select(c(spec.order_id).alias("order_id")).distinct()
+    with_items = tables.items.selectExpr(f"{spec.order_id} AS order_id").distinct()
     if spec.entity_on == "orders":
         lone = orders.join(with_items, "order_id", "left_anti")
     else:
-        lone = orders.where(c("segment") > 0).join(with_items, "order_id", "left_anti")
+        lone = orders.where("segment > 0").join(with_items, "order_id", "left_anti")
         # No item, no entity: the group of the NULL key, typed like the items' key.
         lone = lone.withColumn("entity", F.lit(None).cast(tables.items.schema[spec.entity].dataType))
-    sums = _order_sums(F.lit(1).cast("bigint"), c("weight"))
-    return lone.groupBy("entity", "segment").agg(
-        F.min("approved").alias("first_at"),
-        F.max("approved").alias("last_at"),
-        F.bit_or(_month_bit("approved")).alias("months"),
-        F.max("r_max").alias("r_max"),
-        F.min("r_min").alias("r_min"),
-        F.lit(_NO_ITEM).alias("grain"),
-        F.sum("r_ids").alias("n_reviews"),
-        F.sum("weight").alias("m_rows"),
-        *[F.sum(v).alias(k) for k, v in sums.items()],
+    return lone.sparkSession.sql(
+        f"""
+        SELECT entity, segment, '{_NO_ITEM}' AS grain, min(approved) AS first_at, max(approved) AS last_at,
+          bit_or({_MONTH_BIT}) AS months, max(r_max) AS r_max, min(r_min) AS r_min,
+          sum(r_ids) AS n_reviews, sum(weight) AS m_rows,
+          {", ".join(f"sum({x.rsplit(' AS ', 1)[0]}) AS {x.rsplit(' AS ', 1)[1]}" for x in _order_measures("weight"))}
+        FROM {{lone}} GROUP BY entity, segment
+        """,
+        lone=lone,
     )
 
 
-def _per_vintage(parts: DataFrame, line: Timeline, spec: BookSpec, fanout: str) -> DataFrame:
+def _per_vintage(parts: DataFrame, line: Timeline, spec: BookSpec) -> DataFrame:
     """Expand segment aggregates to reference dates and finish the metrics."""
-    c = F.col
-    expanded = parts.select(
-        "*", F.explode_outer(F.get(line.covering(), c("segment"))).alias("vintage")
-    )
-    new_product = (
-        (c("grain") == _BY_PRODUCT)
-        & c("product").isNotNull()
-        & (c("prev_segment").isNull() | (c("prev_segment") < c("vintage.first_seg")))
-    )
-    category = c("category")
-    units = [m for m in ("m_rows", "m_products", "m_priced", "m_price", "m_freighted", "m_freight")]
-    order_keys = list(_order_sums(F.lit(1), F.lit(1)))
-    total = expanded.groupBy("entity", c("vintage.dt_ref").alias("dt_ref")).agg(
-        F.min("first_at").alias("first_at"),
-        F.max("last_at").alias("last_at"),
-        F.bit_or("months").alias("months"),
-        F.max("r_max").alias("r_max"),
-        F.min("r_min").alias("r_min"),
-        F.coalesce(F.sum("n_orders"), F.lit(0)).alias("n_orders"),
-        F.coalesce(F.sum("n_reviews"), F.lit(0)).alias("n_reviews"),
-        F.count_if(new_product).alias("n_products"),
-        *[F.sum(m).alias(m) for m in units],
-        *[F.sum(k).alias(k) for k in order_keys],
-        *[
-            F.sum(F.when(category == cat, c("m_rows")).otherwise(0)).alias(spec.category_column(cat))
-            for cat in spec.categories
-        ],
-        F.sum(F.when(~category.isin(*spec.categories), c("m_rows")).otherwise(0)).alias("qtd_outros"),
-    )
+    new_product = f"""grain = '{_BY_PRODUCT}' AND product IS NOT NULL
+        AND (prev_segment IS NULL OR prev_segment < vintage.first_seg)"""
+    named = ", ".join(_text(c) for c in spec.categories)
+    per_category = [
+        f"sum(CASE WHEN category = {_text(c)} THEN m_rows ELSE 0 END) AS `{spec.category_column(c)}`"
+        for c in spec.categories
+    ]
+    sums = [*_ITEM_MEASURES, *_ORDER_MEASURES]
     # The first sale spans the whole history, which the row without a date still holds.
-    whole = Window.partitionBy("entity")
-    first = total.withColumn("first_at", F.min("first_at").over(whole)).where(c("dt_ref").isNotNull())
-    return first.select("dt_ref", *_metric_columns(spec))
-
-
-def _metric_columns(spec: BookSpec) -> list[Column]:
-    """The book's metric columns.  Fixed values: their names and their order."""
-    c = F.col
-    at = c("dt_ref").cast("timestamp")
-    unit = float(10**spec.money_scale)
-    price, freight = c("m_price") / F.lit(unit), c("m_freight") / F.lit(unit)
-    age = F.when(c("entity").isNotNull(), F.round(days_between(at, c("first_at")), 2))
-    age_months = 1 + (age / 30).cast("bigint")
-    capped = strict_least(age_months, F.lit(spec.window_months).cast("bigint"))
-    active = F.bit_count(c("months")).cast("bigint")
-    n_products = F.coalesce(c("m_products"), F.lit(0)).cast("bigint")
-
-    def r2(x: Column) -> Column:
-        return F.round(x, 2)
+    total = parts.sparkSession.sql(
+        f"""
+        SELECT *, min(seen_at) OVER (PARTITION BY entity) AS first_at FROM (
+          SELECT entity, vintage.dt_ref AS dt_ref, min(first_at) AS seen_at, max(last_at) AS last_at,
+            bit_or(months) AS months, max(r_max) AS r_max, min(r_min) AS r_min,
+            coalesce(sum(n_orders), 0L) AS n_orders, coalesce(sum(n_reviews), 0L) AS n_reviews,
+            count_if({new_product}) AS n_products,
+            {", ".join(f"sum({m}) AS {m}" for m in sums)},
+            {", ".join(per_category)},
+            sum(CASE WHEN category NOT IN ({named}) THEN m_rows ELSE 0 END) AS qtd_outros
+          FROM (SELECT *, explode_outer(get({line.covering()}, segment)) AS vintage FROM {{parts}})
+          GROUP BY entity, vintage.dt_ref)
+        """,
+        parts=parts,
+    )
+    named_terms = total.where("dt_ref IS NOT NULL").selectExpr("*", *_terms(spec))
+    return named_terms.selectExpr("dt_ref", f"entity AS {spec.entity}", *_metrics(spec))
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _terms(spec: BookSpec) -> list[str]:
+    """Intermediate terms of the metrics."""
+    at, unit = "CAST(dt_ref AS timestamp)", f"{10**spec.money_scale}D"
+    age = f"CASE WHEN entity IS NOT NULL THEN round({_days(at, 'first_at')}, 2) END"
+    months = f"1 + CAST({age} / 30 AS bigint)"
+    return [
+        f"{age} AS age",
+        f"{months} AS age_months",
+        # NULL when the age is unknown: least() alone would skip it.
+        f"CASE WHEN {age} IS NOT NULL THEN least({months}, {spec.window_months}L) END AS capped",
+        "CAST(bit_count(months) AS bigint) AS active",
+        "coalesce(m_products, 0L) AS n_sold",
+        f"m_price / {unit} AS price",
+        f"m_freight / {unit} AS freight",
+        f"CAST({_days(at, 'last_at')} AS bigint) AS idle",
+    ]
+
+
+def _metrics(spec: BookSpec) -> list[str]:
+    """Metric columns.  Fixed values: their names and their order."""
+
+    def per(top: str, bottom: str, name: str, places: int = 2) -> str:
+        return f"round({top} / nullif({bottom}, 0), {places}) AS {name}"
 
     return [
-        c("entity").alias(spec.entity),
-        c("n_reviews").cast("bigint").alias("qtd_avaliacoes_recebidas"),
-        r2(ratio(c("s_score"), c("s_scored"))).alias("review_score_medio"),
-        r2(c("r_max")).alias("review_score_max"),
-        r2(c("r_min")).alias("review_score_min"),
-        r2(ratio(c("s_good"), c("s_ids"))).alias("prop_reviews_positivos"),
-        r2(ratio(c("s_poor"), c("s_ids"))).alias("prop_reviews_negativos"),
-        age.alias("idade_dias_base"),
-        age_months.alias("idade_meses_base"),
-        days_between(at, c("last_at")).cast("bigint").alias("idade_dias_ult_venda"),
-        active.alias("meses_ativado"),
-        r2(ratio(active, capped)).alias("perc_tempo_ativado"),
-        c("s_late").alias("qtd_atraso"),
-        whole_ratio(c("s_late"), c("n_orders")).alias("prop_atraso"),
-        r2(ratio(c("s_days_late"), c("s_rows"))).alias("media_dias_atraso"),
-        F.round(ratio(c("s_days_planned"), c("s_planned")), 0).alias("med_dias_entrega_estimada"),
-        r2(price).alias("receita_tot"),
-        c("n_orders").alias("qtd_vendas"),
-        r2(ratio(price, c("m_priced"))).alias("preco_medio_produto"),
-        r2(ratio(freight, c("m_freighted"))).alias("frete_medio"),
-        r2(freight).alias("receita_frete_total"),
-        r2(ratio(c("m_freight"), c("m_price"))).alias("proporcao_frete_sobre_vendas"),
-        r2(ratio(price, c("n_orders"))).alias("tkt_med_venda"),
-        r2(ratio(price, capped)).alias("tkt_med_venda_mes"),
-        r2(ratio(price, active)).alias("tkt_med_venda_mes_ativado"),
-        n_products.alias("qtd_prod_vend"),
-        c("n_products").alias("qtd_prod_dst_vend"),
-        r2(ratio(price, n_products)).alias("tkt_med_venda_prod"),
-        whole_ratio(n_products, c("n_orders")).alias("med_prod_por_vendas"),
-        *[c(spec.category_column(cat)) for cat in spec.categories],
-        c("qtd_outros"),
+        "n_reviews AS qtd_avaliacoes_recebidas",
+        per("s_score", "s_scored", "review_score_medio"),
+        "round(r_max, 2) AS review_score_max",
+        "round(r_min, 2) AS review_score_min",
+        per("s_good", "s_ids", "prop_reviews_positivos"),
+        per("s_poor", "s_ids", "prop_reviews_negativos"),
+        "age AS idade_dias_base",
+        "age_months AS idade_meses_base",
+        "idle AS idade_dias_ult_venda",
+        "active AS meses_ativado",
+        per("active", "capped", "perc_tempo_ativado"),
+        "s_late AS qtd_atraso",
+        "s_late div nullif(n_orders, 0) AS prop_atraso",
+        per("s_days_late", "s_rows", "media_dias_atraso"),
+        per("s_days_planned", "s_planned", "med_dias_entrega_estimada", 0),
+        "round(price, 2) AS receita_tot",
+        "n_orders AS qtd_vendas",
+        per("price", "m_priced", "preco_medio_produto"),
+        per("freight", "m_freighted", "frete_medio"),
+        "round(freight, 2) AS receita_frete_total",
+        per("m_freight", "m_price", "proporcao_frete_sobre_vendas"),
+        per("price", "n_orders", "tkt_med_venda"),
+        per("price", "capped", "tkt_med_venda_mes"),
+        per("price", "active", "tkt_med_venda_mes_ativado"),
+        "n_sold AS qtd_prod_vend",
+        "n_products AS qtd_prod_dst_vend",
+        per("price", "n_sold", "tkt_med_venda_prod"),
+        "n_sold div nullif(n_orders, 0) AS med_prod_por_vendas",
+        *[f"`{spec.category_column(cat)}`" for cat in spec.categories],
+        "qtd_outros",
     ]
 
 
