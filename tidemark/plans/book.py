@@ -6,7 +6,8 @@ once to the orders of the whole history, reviews having been summed per order be
 The joined rows are then aggregated twice in one pass (grouping sets), per (entity, order) and
 per (entity, product), which replaces the row multiplication "items x reviews" and the distinct
 counts by weighted sums: an order seen with ``r`` reviews counts each of its items ``max(r, 1)``
-times.  Only those aggregates are expanded to reference dates.
+times.  These are summed per (entity, segment), and only those sums are expanded to reference
+dates.
 
 Hot keys.  The item join is an inner join, whose both sides adaptive execution may split;
 orders without items come from an anti-join against distinct order ids.  All groupings combine
@@ -58,21 +59,32 @@ class Timeline:
         micros = F.unix_micros(ts.cast("timestamp"))
         return count_below(micros, [_micros(c) for c in self.cuts], inclusive=True)
 
+    def _spans(self) -> list[tuple[date, int, int]]:
+        """(date, first segment, end segment) of every window."""
+        position = {c: i + 1 for i, c in enumerate(self.cuts)}
+        return [(d, position[shift_months(d, -self.window_months)], position[d]) for d in self.dates]
+
     def covering(self) -> str:
         """Literal array: for each segment the (dt_ref, first segment of its window) pairs."""
-        position = {c: i + 1 for i, c in enumerate(self.cuts)}
-        spans = [(d, position[shift_months(d, -self.window_months)], position[d]) for d in self.dates]
         empty = "CAST(array() AS array<struct<dt_ref: date, first_seg: int>>)"
         cells = []
         for seg in range(len(self.cuts) + 1):
             hits = [
                 f"named_struct('dt_ref', DATE'{d.isoformat()}', 'first_seg', {lo})"
-                for d, lo, hi in spans
+                for d, lo, hi in self._spans()
                 if lo <= seg < hi
             ]
             cells.append(f"array({', '.join(hits)})" if hits else empty)
         return f"array({', '.join(cells)})"
 
+    def earliest(self) -> str:
+        """Literal array: for each segment the first segment of the windows covering it."""
+        starts = [
+            min((lo for _, lo, hi in self._spans() if lo <= seg < hi), default=seg)
+            for seg in range(len(self.cuts) + 1)
+        ]
+        return f"array({', '.join(map(str, starts))})"
+
 
 def _micros(day: date) -> int:
     return (day - date(1970, 1, 1)).days * 86_400_000_000
@@ -259,7 +271,8 @@ def _with_category(facts: DataFrame, products: DataFrame, spec: BookSpec) -> Dat
     """
     lookup = products.selectExpr(
         f"{spec.product} AS product_key",
-        f"{spec.category} AS category",
+        # Position in the named list, 0 for any other category: compared as a number later on.
+        f"CAST(array_position(array({', '.join(map(_text, spec.categories))}), {spec.category}) AS int) AS category",
         f"CAST({spec.product} IS NULL AS int) AS product_spread",
     )
     keyed = facts.selectExpr(
@@ -290,31 +303,54 @@ def _itemless_facts(tables: BookTables, orders: DataFrame, spec: BookSpec) -> Da
     )
 
 
+def _per_segment(parts: DataFrame, line: Timeline, categories: int) -> DataFrame:
+    """Sum to (entity, segment, earlier segment of the same products).
+
+    Only that earlier segment decides in which windows a product is new, so everything else
+    can be summed before it is expanded to reference dates.
+    """
+    first_seen = f"get({line.earliest()}, segment)"
+    return parts.sparkSession.sql(
+        f"""
+        SELECT entity, segment, seen, min(first_at) AS first_at, max(last_at) AS last_at,
+          bit_or(months) AS months, max(r_max) AS r_max, min(r_min) AS r_min,
+          sum(n_orders) AS n_orders, sum(n_reviews) AS n_reviews,
+          count(CASE WHEN grain = '{_BY_PRODUCT}' THEN product END) AS n_products,
+          {", ".join(f"sum({m}) AS {m}" for m in [*_ITEM_MEASURES, *_ORDER_MEASURES])},
+          {", ".join(f"sum(CASE WHEN category = {i} THEN m_rows END) AS c_{i}" for i in range(categories + 1))}
+        FROM (
+          SELECT *, CASE WHEN prev_segment >= {first_seen} THEN prev_segment END AS seen FROM {{parts}})
+        GROUP BY entity, segment, seen
+        """,
+        parts=parts,
+    )
+
+
 def _per_vintage(parts: DataFrame, line: Timeline, spec: BookSpec) -> DataFrame:
-    """Expand segment aggregates to reference dates and finish the metrics."""
-    new_product = f"""grain = '{_BY_PRODUCT}' AND product IS NOT NULL
-        AND (prev_segment IS NULL OR prev_segment < vintage.first_seg)"""
-    named = ", ".join(_text(c) for c in spec.categories)
+    """Expand segment sums to reference dates and finish the metrics.
+
+    The segment sums are placed by entity once; grouping by date and the first sale over the
+    whole history, which the row without a date still holds, both reuse that placement.  An
+    entity has at most a few rows per segment here.
+    """
+    sums = [*_ITEM_MEASURES, *_ORDER_MEASURES]
     per_category = [
-        f"sum(CASE WHEN category = {_text(c)} THEN m_rows ELSE 0 END) AS `{spec.category_column(c)}`"
-        for c in spec.categories
+        f"coalesce(sum(c_{i}), 0L) AS `{spec.category_column(c)}`" for i, c in enumerate(spec.categories, 1)
     ]
-    sums = [*_ITEM_MEASURES, *_ORDER_MEASURES]
-    # The first sale spans the whole history, which the row without a date still holds.
     total = parts.sparkSession.sql(
         f"""
         SELECT *, min(seen_at) OVER (PARTITION BY entity) AS first_at FROM (
           SELECT entity, vintage.dt_ref AS dt_ref, min(first_at) AS seen_at, max(last_at) AS last_at,
             bit_or(months) AS months, max(r_max) AS r_max, min(r_min) AS r_min,
             coalesce(sum(n_orders), 0L) AS n_orders, coalesce(sum(n_reviews), 0L) AS n_reviews,
-            count_if({new_product}) AS n_products,
+            sum(CASE WHEN seen IS NULL OR seen < vintage.first_seg THEN n_products ELSE 0L END) AS n_products,
             {", ".join(f"sum({m}) AS {m}" for m in sums)},
             {", ".join(per_category)},
-            sum(CASE WHEN category NOT IN ({named}) THEN m_rows ELSE 0 END) AS qtd_outros
-          FROM (SELECT *, explode_outer(get({line.covering()}, segment)) AS vintage FROM {{parts}})
+            coalesce(sum(c_0), 0L) AS qtd_outros
+          FROM (SELECT *, explode_outer(get({line.covering()}, segment)) AS vintage FROM {{placed}})
           GROUP BY entity, vintage.dt_ref)
         """,
-        parts=parts,
+        placed=_per_segment(parts, line, len(spec.categories)).repartition("entity"),
     )
     named_terms = total.where("dt_ref IS NOT NULL").selectExpr("*", *_terms(spec))
     return named_terms.selectExpr("dt_ref", f"entity AS {spec.entity}", *_metrics(spec))
