@@ -138,7 +138,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     df = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    groups = grouping.regroup(df.where("o_orderkey > 0"), "o_orderpriority", _PRIORITIES)
+    groups = grouping.regroup(df, "o_orderpriority", _PRIORITIES)
     return grouping.apply_grouping(df, groups, "o_orderpriority")
 
 

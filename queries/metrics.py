@@ -246,33 +246,39 @@ _BAND_SHORT = f"""decile, {sql_round("min_score", 6)} AS min_score, {sql_round("
   {sql_round("event_rate", 6)} AS event_rate, volume"""
 
 
-@query(
-    "width_bands",
-    f"""WITH {_F}, tr AS (SELECT * FROM f WHERE split = 'train'),
-        {_bands_sql("tr", width_edges_sql("tr", "score", 10), "score", "quality")} SELECT {_BAND_SHORT} FROM bands""",
-)
+def _both_bands_sql(edges, score: str, prefix: str) -> str:
+    """Bands of either split, each cut on its own values."""
+    ctes, parts = [], []
+    for split in ("train", "test"):
+        source = f"{prefix}_{split}"
+        ctes.append(f"{source} AS (SELECT *, 1 - score AS score_0 FROM f WHERE split = '{split}')")
+        ctes.append(f"{source}_e AS ({edges(source)})")
+        parts.append(f"""SELECT '{split}' AS split, {_BAND_SHORT} FROM (
+          SELECT decile, min(sc) AS min_score, max(sc) AS max_score, avg(t) AS event_rate, count(*) AS volume
+          FROM (SELECT {bin_sql(score)} AS decile, {score} AS sc, quality AS t FROM {source}, {source}_e) b GROUP BY decile) q""")
+    return f"WITH {_F}, {', '.join(ctes)} " + " UNION ALL ".join(parts)
+
+
+def _labelled_bands(tables):
+    return rounded(
+        tables[1].withColumn("split", F.lit("train")).unionByName(tables[2].withColumn("split", F.lit("test")))
+    )
+
+
+@query("width_bands", _both_bands_sql(lambda s: width_edges_sql(s, "score", 10), "score", "w"))
 def _(spark, sf_dir):
-    return rounded(evaluate.split_metrics(*_train_test(spark, sf_dir), "score", "quality")[1])
+    return _labelled_bands(evaluate.split_metrics(*_train_test(spark, sf_dir), "score", "quality"))
 
 
-@query(
-    "quantile_bands",
-    f"""WITH {_F}, te AS (SELECT *, 1 - score AS score_0 FROM f WHERE split = 'test'),
-        {_bands_sql("te", quantile_edges_sql("te", "score_0", 5), "score_0", "quality")} SELECT {_BAND_SHORT} FROM bands""",
-)
+@query("quantile_bands", _both_bands_sql(lambda s: quantile_edges_sql(s, "score_0", 5), "score_0", "q"))
 def _(spark, sf_dir):
-    """Test bands at the quantiles of a second score column."""
+    """Bands at the quantiles of a second score column."""
     train, test = (d.withColumn("score_0", 1 - F.col("score")) for d in _train_test(spark, sf_dir))
-    table_ = evaluate.split_metrics(
-        train.select("score", "score_0", "quality"),
-        test.select("score", "score_0", "quality"),
-        "score",
-        "quality",
-        bins=5,
-        binning="quantile",
-        bin_on="score_0",
-    )[2]
-    return rounded(table_)
+    return _labelled_bands(
+        evaluate.split_metrics(
+            train, test, "score", "quality", bins=5, binning="quantile", bin_on="score_0", duplicates="drop"
+        )
+    )
 
 
 @query("event_rate_by_band")

@@ -76,7 +76,14 @@ def double_array(values: list[float]) -> Column:
     return F.expr("array(" + ", ".join(f"CAST('{v!r}' AS DOUBLE)" for v in values) + ")")
 
 
-def count_below(col: Column, thresholds: list[float], inclusive: bool = False) -> Column:
+def literal_array(values: list) -> Column:
+    """Literal array of numbers or texts."""
+    if values and isinstance(values[0], str):
+        return F.array(*[F.lit(v) for v in values])
+    return double_array(values)
+
+
+def count_below(col: Column, thresholds: list, inclusive: bool = False) -> Column:
     """How many of the sorted ``thresholds`` lie below ``col`` (at or below when inclusive).
 
     Short lists become a chain of comparisons inside generated code; long ones are searched
@@ -96,9 +103,8 @@ def count_below(col: Column, thresholds: list[float], inclusive: bool = False) -
         return chain(thresholds)
     width = int(len(thresholds) ** 0.5) + 1
     blocks = [thresholds[i : i + width] for i in range(0, len(thresholds), width)]
-    full = hits_in(double_array([b[-1] for b in blocks]))
-    rest = F.coalesce(
-        F.get(F.array(*[double_array(b) for b in blocks]), full), F.array().cast("array<double>")
-    )
+    full = hits_in(literal_array([b[-1] for b in blocks]))
+    nothing = F.slice(literal_array(blocks[0]), 1, 0)
+    rest = F.coalesce(F.get(F.array(*[literal_array(b) for b in blocks]), full), nothing)
     # The last block may be short, so a value above everything must not count past the list.
     return F.when(col.isNotNull(), F.least(full * width + hits_in(rest), F.lit(len(thresholds))))

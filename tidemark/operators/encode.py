@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.operators.binning import numeric_columns, text_columns
 from tidemark.operators.quantiles import exact_quantiles
 
 # Most categories a literal list may hold; beyond it one-hot columns make no sense anyway.
@@ -70,6 +71,24 @@ def fit_one_hot(df: DataFrame, columns: list[str], drop_first: bool = False) ->
     return OneHot({c: v[1:] if drop_first else v for c, v in levels.items()})
 
 
+def one_hot_and_save(df: DataFrame, target: str, path: str) -> DataFrame:
+    """One-hot encode every text column, save the encoder, and return numbers, target and levels."""
+    texts = text_columns(df, (target,))
+    encoder = fit_one_hot(df, texts)
+    encoder.save(df, path)
+    return encoder.transform(df.select(target, *numeric_columns(df, (target,)), *texts))
+
+
+def apply_saved_one_hot(df: DataFrame, path: str, target: str | None = None) -> DataFrame:
+    """Apply a saved encoder; a column it needs and the frame lacks is an error."""
+    encoder = OneHot.load(df.sparkSession, path)
+    missing = [c for c in encoder.levels if c not in df.columns]
+    if missing:
+        raise ValueError(f"columns to encode are absent: {missing}")
+    kept = [target] if target and target in df.columns else []
+    return encoder.transform(df.select(*kept, *numeric_columns(df, tuple(kept)), *encoder.levels))
+
+
 def ordinal_encode(df: DataFrame, orders: dict[str, list[str]]) -> DataFrame:
     """Position of each value in the given order; an unlisted value is an error."""
     out = []

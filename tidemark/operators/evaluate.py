@@ -270,6 +270,7 @@ def split_metrics(
     bins: int = 10,
     binning: str = "width",
     bin_on: str | None = None,
+    duplicates: str = "raise",
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """((Metric, Train_Value, Test_Value), train bands, test bands).
 
@@ -289,8 +290,9 @@ def split_metrics(
         F.max(F.when(F.col("split") == "test", F.col("value"))).alias("Test_Value"),
     )
     bands = [
-        band_table(d, on, target, bins, binning, duplicates="raise" if binning == "quantile" else "drop")
-        .select("decile", "min_score", "max_score", "event_rate", "volume")
+        band_table(d, on, target, bins, binning, duplicates).select(
+            "decile", "min_score", "max_score", "event_rate", "volume"
+        )
         for d in (train, test)
     ]
     return table, bands[0], bands[1]

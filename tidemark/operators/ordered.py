@@ -18,11 +18,14 @@ RANGE_ROWS = 250_000
 MAX_RANGES = 1024
 
 
-def range_edges(df: DataFrame, order: Column, range_rows: int | None = None) -> list[float]:
+def range_edges(df: DataFrame, order: str, range_rows: int | None = None) -> list:
     """Inner edges that cut ``order`` into ranges of roughly ``range_rows`` rows."""
+    if df.schema[order].dataType.typeName() == "string":
+        return _text_edges(df, order, range_rows)
+    value = F.col(order).cast("double")
     probs = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
     row = df.agg(
-        F.count(order).alias("n"), F.percentile_approx(order, double_array(probs), 4 * MAX_RANGES).alias("q")
+        F.count(value).alias("n"), F.percentile_approx(value, double_array(probs), 4 * MAX_RANGES).alias("q")
     ).first()
     ranges = min(MAX_RANGES, -(-row["n"] // (range_rows or RANGE_ROWS)))
     if ranges <= 1:
@@ -31,6 +34,18 @@ def range_edges(df: DataFrame, order: Column, range_rows: int | None = None) ->
     return sorted(set(picked))
 
 
+def _text_edges(df: DataFrame, order: str, range_rows: int | None) -> list[str]:
+    """Edges for texts: the distinct values with the smallest hashes are an even sample of them."""
+    n = df.agg(F.count(order)).first()[0]
+    ranges = min(MAX_RANGES, -(-n // (range_rows or RANGE_ROWS)))
+    if ranges <= 1:
+        return []
+    sample = df.select(order).distinct().orderBy(F.xxhash64(order)).limit(MAX_RANGES).collect()
+    values = sorted(r[0] for r in sample)
+    picked = [values[i * len(values) // ranges] for i in range(1, ranges)]
+    return sorted(set(picked))
+
+
 def running_totals(
     df: DataFrame,
     order: str,
@@ -46,9 +61,10 @@ def running_totals(
     """
     by = by or []
     kept = df.where(F.col(order).isNotNull())
-    edges = range_edges(kept, F.col(order).cast("double"), range_rows)
+    edges = range_edges(kept, order, range_rows)
     sums = kept.groupBy(*by, order).agg(*[m.alias(k) for k, m in measures.items()])
-    place = count_below(F.col(order).cast("double"), edges) if edges else F.lit(0)
+    key = F.col(order) if edges and isinstance(edges[0], str) else F.col(order).cast("double")
+    place = count_below(key, edges) if edges else F.lit(0)
     cut = sums.withColumn("_range", -place if descending else place)
     direction = F.col(order).desc() if descending else F.col(order).asc()
     inside = (

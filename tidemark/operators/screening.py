@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.scalars import ratio
 from tidemark.operators.binning import Bins, numeric_columns, quantile_bins, text_columns, width_bins
+from tidemark.operators.dedupe import keep_last
+from tidemark.operators.ordered import running_totals
+from tidemark.operators.profile import feature_stats
 
 # Strength classes by upper bound of the information value.
 STRENGTH = (
@@ -190,8 +193,6 @@ def bivariate_table(df: DataFrame, target: str, bins: int = 10) -> DataFrame:
 
 def merge_bivariate(old: DataFrame, new: DataFrame) -> DataFrame:
     """Append newer bivariate rows; of two rows of a (Variavel, Var_Range) the newer stays."""
-    from tidemark.operators.dedupe import keep_last
-
     both = old.withColumn("_gen", F.lit(0)).unionByName(new.withColumn("_gen", F.lit(1)))
     return keep_last(both, ["Variavel", "Var_Range"], ["_gen"]).drop("_gen")
 
@@ -219,6 +220,7 @@ def logodds_curve(
     target: str,
     clip: bool = False,
     max_bins: int = 10,
+    range_rows: int | None = None,
 ) -> DataFrame:
     """(variable, bin, x, n, event_rate, log_odds): mean value and log-odds per bin.
 
@@ -227,8 +229,6 @@ def logodds_curve(
     rates are held inside (0, 1); without it bins whose log-odds are infinite are left out.
     Variables with a single value are left out.
     """
-    from tidemark.operators.profile import feature_stats
-
     stats = {r["feature"]: r["cardinality"] for r in feature_stats(df, variables).collect()}
     used = [v for v in variables if stats.get(v, 0) > 1]
     numbers = [v for v in used if v in numeric_columns(df)]
@@ -259,11 +259,15 @@ def logodds_curve(
         F.avg("x").alias("x"), F.count(F.lit(1)).alias("n"), F.avg("y").alias("event_rate")
     )
     if texts:
-        from pyspark.sql import Window
-
-        # Only the text variables are ranked, one task per variable over its distinct values.
-        order = Window.partitionBy("variable").orderBy("bin")
-        ranked = points.where(F.col("x").isNull()).withColumn("x", (F.row_number().over(order) - 1).cast("double"))
+        # Position of each text value in alphabetical order.
+        named = points.where(F.col("x").isNull())
+        order = running_totals(named, "bin", {"one": F.max(F.lit(1))}, ["variable"], False, range_rows)
+        place = order.select(
+            F.col("variable").alias("_v"), F.col("bin").alias("_b"), (F.col("cum_one") - 1).cast("double").alias("_x")
+        )
+        ranked = named.join(place, (F.col("variable") == F.col("_v")) & (F.col("bin") == F.col("_b"))).select(
+            "variable", "bin", F.col("_x").alias("x"), "n", "event_rate"
+        )
         points = points.where(F.col("x").isNotNull()).unionByName(ranked)
     rate = F.greatest(F.least(F.col("event_rate"), F.lit(1 - _EPS)), F.lit(_EPS)) if clip else F.col("event_rate")
     odds = rate / F.nullif(1 - rate, F.lit(0.0))

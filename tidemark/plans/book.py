@@ -16,7 +16,7 @@ on the map side, so no key, however frequent, is gathered in one task.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -130,20 +130,31 @@ def _order_measures(weight: str) -> list[str]:
 
 
 def build_book(
-    tables: BookTables, dates: list[date], spec: BookSpec = BookSpec(), fanout: str = "reference"
+    tables: BookTables,
+    dates: list[date],
+    spec: BookSpec = BookSpec(),
+    fanout: str = "reference",
+    null_entity: bool = True,
 ) -> DataFrame:
     """Feature book at grain (entity, dt_ref).
 
     ``fanout="reference"`` keeps the weights that joining items and reviews per order gives;
-    ``"preaggregate"`` counts every item, order and review once.
+    ``"preaggregate"`` counts every item, order and review once.  Orders without items, or items
+    without an entity, form one group with a NULL entity unless ``null_entity`` is off.
     """
     if fanout not in ("reference", "preaggregate"):
         raise ValueError(f"unknown fanout {fanout!r}")
     line = Timeline.of(dates, spec.window_months)
+    if not null_entity:
+        kept = f"{spec.entity} IS NOT NULL"
+        if spec.entity_on == "orders":
+            tables = replace(tables, orders=tables.orders.where(kept))
+        else:
+            tables = replace(tables, items=tables.items.where(kept))
     orders = _order_facts(tables, line, spec)
-    parts = _item_facts(tables, orders, line, spec, fanout).unionByName(
-        _itemless_facts(tables, orders, spec), allowMissingColumns=True
-    )
+    parts = _item_facts(tables, orders, line, spec, fanout)
+    if null_entity or spec.entity_on == "orders":
+        parts = parts.unionByName(_itemless_facts(tables, orders, spec), allowMissingColumns=True)
     metrics = _per_vintage(parts, line, spec)
     return _with_geo(metrics, tables.geo, spec)
 

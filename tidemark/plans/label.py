@@ -73,5 +73,5 @@ def build_abt(
     null_entity: str = "drop",
 ) -> DataFrame:
     """Book plus inactivity flag."""
-    book = build_book(tables, dates, spec)
+    book = build_book(tables, dates, spec, null_entity=null_entity == "parity")
     return label_inactivity(book, tables, spec, horizon_months, null_entity=null_entity)
