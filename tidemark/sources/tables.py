@@ -13,8 +13,8 @@ def write_vintages(df: DataFrame, path: str, date_col: str = "dt_ref", mode: str
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"unknown mode {mode!r}")
-    # Rows of a date are spread over several writers, so a large vintage is not one task's work.
-    writer = df.write.partitionBy(date_col)
+    # Rebalancing splits a large date over several writers and spares small ones tiny files.
+    writer = df.hint("rebalance", F.col(date_col)).write.partitionBy(date_col)
     if mode == "replace":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
