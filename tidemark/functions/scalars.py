@@ -7,18 +7,10 @@ from operator import add
 
 from pyspark.sql import Column, functions as F, types as T
 
-MICROS_PER_DAY = 86_400_000_000
-
 # Above this many thresholds a comparison chain is replaced by a two-level array search.
 _CHAIN_LIMIT = 24
 
 
-def days_between(later: Column, earlier: Column) -> Column:
-    """Fractional days from ``earlier`` to ``later``."""
-    micros = F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))
-    return micros / F.lit(float(MICROS_PER_DAY))
-
-
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Division that gives NULL for a zero denominator."""
     return numerator / F.nullif(denominator, F.lit(0).cast("bigint"))
@@ -35,11 +27,6 @@ def strict_least(*cols: Column) -> Column:
     return F.when(any_null, F.lit(None)).otherwise(F.least(*cols))
 
 
-def money_units(amount: Column, scale: int) -> Column:
-    """Money as whole units of 10**-scale, so that sums do not depend on row order."""
-    return (amount.cast(T.DecimalType(18, scale)) * F.lit(10**scale)).cast("bigint")
-
-
 def nan_to_null(col: Column, dtype: T.DataType) -> Column:
     """Floating NaN counts as missing, as it does for the null statistics."""
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
@@ -67,10 +54,6 @@ def recode(col: Column, mapping: dict) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), col), col)
 
 
-def clip(col: Column, low: float, high: float) -> Column:
-    return F.when(col < low, F.lit(low)).when(col > high, F.lit(high)).otherwise(col)
-
-
 def double_array(values: list[float]) -> Column:
     """Literal array of doubles, parsed in one go."""
     return F.expr("array(" + ", ".join(f"CAST('{v!r}' AS DOUBLE)" for v in values) + ")")

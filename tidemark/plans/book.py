@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.scalars import count_below
 from tidemark.plans.spec import BookSpec, shift_months
 
-_BY_ORDER, _BY_PRODUCT, _NO_ITEM = "order", "product", "none"
+# Grain of an aggregate row.
+_NO_ITEM, _BY_ORDER, _BY_PRODUCT = 0, 1, 2
 
 
 @dataclass(frozen=True)
@@ -154,7 +155,7 @@ def build_book(
     orders = _order_facts(tables, line, spec)
     parts = _item_facts(tables, orders, line, spec, fanout)
     if null_entity or spec.entity_on == "orders":
-        parts = parts.unionByName(_itemless_facts(tables, orders, spec), allowMissingColumns=True)
+        parts = parts.unionByName(_itemless_facts(tables, line, spec), allowMissingColumns=True)
     metrics = _per_vintage(parts, line, spec)
     return _with_geo(metrics, tables.geo, spec)
 
@@ -219,7 +220,7 @@ def _item_facts(
 
     def units(money: str) -> str:
         # Whole units, so that sums do not depend on row order.
-        return f"CAST(CAST({money} AS decimal(18, {scale})) * {10**scale} AS bigint)"
+        return f"CAST(rint({money} * {10**scale}D) AS bigint)"
 
     items = tables.items.selectExpr(
         f"{spec.order_id} AS order_id",
@@ -248,7 +249,7 @@ def _item_facts(
     facts = tables.items.sparkSession.sql(
         f"""
         SELECT entity, segment, order_id, product, first_at, last_at, months, r_max, r_min,
-          CASE WHEN of_order = 1 THEN '{_BY_ORDER}' ELSE '{_BY_PRODUCT}' END AS grain,
+          CASE WHEN of_order = 1 THEN {_BY_ORDER} ELSE {_BY_PRODUCT} END AS grain,
           CASE WHEN of_order = 1 AND segment > 0 THEN 1L ELSE 0L END AS n_orders,
           CASE WHEN of_order = 1 THEN o_reviews END AS n_reviews,
           {", ".join(f"CASE WHEN of_order = 0 THEN {m} END AS {m}" for m in _ITEM_MEASURES)},
@@ -293,18 +294,22 @@ def _with_category(facts: DataFrame, products: DataFrame, spec: BookSpec) -> Dat
     return keyed.join(lookup, on, "left").drop("product_key", "product_spread", "spread")
 
 
-def _itemless_facts(tables: BookTables, orders: DataFrame, spec: BookSpec) -> DataFrame:
-    """Orders that have no item at all; without an entity of their own only the windows matter."""
-    with_items = tables.items.selectExpr(f"{spec.order_id} AS order_id").distinct()
-    if spec.entity_on == "orders":
-        lone = orders.join(with_items, "order_id", "left_anti")
-    else:
-        lone = orders.where("segment > 0").join(with_items, "order_id", "left_anti")
+def _itemless_facts(tables: BookTables, line: Timeline, spec: BookSpec) -> DataFrame:
+    """Orders that have no item at all; without an entity of their own only the windows matter.
+
+    The anti-join comes first, so that only those orders meet their reviews.
+    """
+    with_items = tables.items.select(spec.order_id).distinct()
+    lone = tables.orders.join(with_items, spec.order_id, "left_anti")
+    lone = _order_facts(replace(tables, orders=lone), line, spec)
+    if spec.entity_on != "orders":
         # No item, no entity: the group of the NULL key, typed like the items' key.
-        lone = lone.withColumn("entity", F.lit(None).cast(tables.items.schema[spec.entity].dataType))
+        lone = lone.where("segment > 0").withColumn(
+            "entity", F.lit(None).cast(tables.items.schema[spec.entity].dataType)
+        )
     return lone.sparkSession.sql(
         f"""
-        SELECT entity, segment, '{_NO_ITEM}' AS grain, min(approved) AS first_at, max(approved) AS last_at,
+        SELECT entity, segment, {_NO_ITEM} AS grain, min(approved) AS first_at, max(approved) AS last_at,
           bit_or({_MONTH_BIT}) AS months, max(r_max) AS r_max, min(r_min) AS r_min,
           sum(r_ids) AS n_reviews, sum(weight) AS m_rows,
           {", ".join(f"sum({x.rsplit(' AS ', 1)[0]}) AS {x.rsplit(' AS ', 1)[1]}" for x in _order_measures("weight"))}
@@ -326,7 +331,7 @@ def _per_segment(parts: DataFrame, line: Timeline, categories: int) -> DataFrame
         SELECT entity, segment, seen, min(first_at) AS first_at, max(last_at) AS last_at,
           bit_or(months) AS months, max(r_max) AS r_max, min(r_min) AS r_min,
           sum(n_orders) AS n_orders, sum(n_reviews) AS n_reviews,
-          count(CASE WHEN grain = '{_BY_PRODUCT}' THEN product END) AS n_products,
+          count(CASE WHEN grain = {_BY_PRODUCT} THEN product END) AS n_products,
           {", ".join(f"sum({m}) AS {m}" for m in [*_ITEM_MEASURES, *_ORDER_MEASURES])},
           {", ".join(f"sum(CASE WHEN category = {i} THEN m_rows END) AS c_{i}" for i in range(categories + 1))}
         FROM (

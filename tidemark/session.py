@@ -13,6 +13,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Hash instead of sort where every partition of a join's build side has been measured small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Split a hot join key even when that costs one more exchange further up.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }

@@ -75,13 +75,12 @@ def book_tables(spark: SparkSession, sf_dir: str, entity: str = "supplier") -> B
         )
         .join(shipped, "order_id", "left")
     )
-    price = c("l_extendedprice").cast("decimal(18,2)")
     items = lineitem.select(
         c("l_orderkey").alias("order_id"),
         c("l_partkey").alias("product_id"),
         c("l_suppkey").alias("seller_id"),
-        price.alias("price"),
-        (price * c("l_tax").cast("decimal(4,2)")).alias("freight_value"),
+        c("l_extendedprice").alias("price"),
+        (c("l_extendedprice") * c("l_tax")).alias("freight_value"),
     )
     products = table(spark, sf_dir, "part").select(
         c("p_partkey").alias("product_id"), c("p_brand").alias("product_category_name")
