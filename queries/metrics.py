@@ -34,10 +34,10 @@ _METRIC_COLS = {
     "precision": "coalesce(sum(n1) FILTER (WHERE s > 0.5) / nullif(sum(n1 + n0) FILTER (WHERE s > 0.5), 0), 0)",
     "recall": "coalesce(sum(n1) FILTER (WHERE s > 0.5) / nullif(sum(n1), 0), 0)",
     "f1": "coalesce(2 * sum(n1) FILTER (WHERE s > 0.5) / (sum(n1) + sum(n1 + n0) FILTER (WHERE s > 0.5)), 0)",
-    "auc": "sum(n1 * (t0 - c0 + n0 / 2) / (t1 * t0))",
-    "gini": "2 * sum(n1 * (t0 - c0 + n0 / 2) / (t1 * t0)) - 1",
-    "ks": "max(abs(c1 / t1 - c0 / t0))",
-    "ks_signed": "greatest(max(c1 / t1 - c0 / t0), 0)",
+    "auc": "sum(n1 * (t0 - c0 + n0 / 2) / nullif(t1 * t0, 0))",
+    "gini": "2 * sum(n1 * (t0 - c0 + n0 / 2) / nullif(t1 * t0, 0)) - 1",
+    "ks": "max(abs(c1 / nullif(t1, 0) - c0 / nullif(t0, 0)))",
+    "ks_signed": "max(CASE WHEN t1 > 0 AND t0 > 0 THEN greatest(c1 / t1 - c0 / t0, 0) END)",
     "avg_precision": "sum(n1 / t1 * c1 / (c1 + c0))",
     "brier": "sum(n1 * (1 - s) * (1 - s) + n0 * s * s) / sum(n1 + n0)",
     "log_loss": "sum(-n1 * ln(s) - n0 * ln(1 - s)) / sum(n1 + n0)",

@@ -61,7 +61,7 @@ def binary_metrics(
         F.coalesce(F.sum(F.when(hit, n0)), F.lit(0)).alias("fp"),
         F.sum(F.when(both, _auc_term())).alias("auc"),
         F.max(F.when(both, F.abs(_gap()))).alias("ks"),
-        F.greatest(F.max(F.when(both, _gap())), F.lit(0.0)).alias("ks_signed"),
+        F.max(F.when(both, F.greatest(_gap(), F.lit(0.0)))).alias("ks_signed"),
         F.sum(F.when(F.col("tot_n1") > 0, n1 / F.col("tot_n1") * precision_here)).alias("avg_precision"),
         F.sum(n1 * (1 - s) * (1 - s) + n0 * s * s).alias("sq"),
         F.sum(-n1 * F.ln(p) - n0 * F.ln(1 - p)).alias("ll"),
