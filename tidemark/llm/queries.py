@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.mixing import weighted_mix
+from tidemark.llm.token_counts import document_token_counts
+from tidemark.llm.token_packing import read_documents, write_tokens
 from tidemark.llm.url_filter import url_filter
-from tidemark.session import configure
+from tidemark.session import configure, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,10 +106,37 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
 
 
+TOKENIZER = "word_bpe_49k.json"
+VOCABULARY = 49_408
+END_ID = 2
+SEPARATOR_ID = 49_407
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = shared_path(spark)
+    write_tokens(docs, path, tokenizer_path(), VOCABULARY, END_ID)
+    return read_documents(spark, path)
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = document_token_counts(docs, shared_path(spark), tokenizer_path(), SEPARATOR_ID)
+    return counted.select("doc_id", "n_tokens", "ended")
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
     "op4_url_filter": op4_url_filter,
+    "op7_token_packing": op7_token_packing,
+    "op9_token_counts": op9_token_counts,
 }
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL,
