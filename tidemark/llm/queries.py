@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.llm.decontaminate import contamination, is_contaminated
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.mixing import weighted_mix
 from tidemark.llm.token_counts import document_token_counts
@@ -106,6 +107,42 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
 
 
+OP5_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+           FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER.format("text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+      FROM benchmark WHERE text IS NOT NULL),
+starts AS (SELECT item_id, w, least(len(w), 13) AS n, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM b WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM starts),
+lengths AS (SELECT DISTINCT n FROM windows),
+places AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lengths WHERE len(w) >= n),
+own AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS win FROM places),
+occurs AS (SELECT o.doc_id, o.n, o.i, x.item_id FROM own o JOIN windows x ON o.win = x.win AND o.n = x.n),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM occurs) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS listed
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM occurs) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination(docs, table(spark, sf_dir, "benchmark"))
+    names = F.sort_array(F.transform("items", lambda i: i.cast("string")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+        is_contaminated().alias("contaminated"),
+    )
+
+
 TOKENIZER = "word_bpe_49k.json"
 VOCABULARY = 49_408
 END_ID = 2
@@ -135,6 +172,7 @@ QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
     "op4_url_filter": op4_url_filter,
+    "op5_decontamination": op5_decontamination,
     "op7_token_packing": op7_token_packing,
     "op9_token_counts": op9_token_counts,
 }
@@ -142,4 +180,5 @@ ORACLES: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL,
     "op2_mixing": OP2_SQL,
     "op4_url_filter": OP4_SQL,
+    "op5_decontamination": OP5_SQL,
 }
