@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm.decontaminate import contamination, is_contaminated
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.mixing import weighted_mix
+from tidemark.llm.quality import is_held_out, score, train
 from tidemark.llm.token_counts import document_token_counts
 from tidemark.llm.token_packing import read_documents, write_tokens
 from tidemark.llm.url_filter import url_filter
@@ -143,6 +144,20 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+GOOD = 0.7
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return score(docs, model).select(
+        "doc_id",
+        is_held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= GOOD).cast("int").alias("predicted"),
+    )
+
+
 TOKENIZER = "word_bpe_49k.json"
 VOCABULARY = 49_408
 END_ID = 2
@@ -173,6 +188,7 @@ QUERIES: dict[str, Query] = {
     "op2_mixing": op2_mixing,
     "op4_url_filter": op4_url_filter,
     "op5_decontamination": op5_decontamination,
+    "op6_quality": op6_quality,
     "op7_token_packing": op7_token_packing,
     "op9_token_counts": op9_token_counts,
 }
