@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.llm.chat import chat_messages
 from tidemark.llm.decontaminate import contamination, is_contaminated
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.licenses import COPYRIGHT_LINE, KNOWN, SIGNS, SPELLINGS, known_licenses, license_scan
 from tidemark.llm.mixing import weighted_mix
+from tidemark.llm.ngram_join import ngram_jaccard_join
 from tidemark.llm.quality import is_held_out, score, train
 from tidemark.llm.token_counts import document_token_counts
 from tidemark.llm.token_packing import read_documents, write_tokens
@@ -76,6 +79,31 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+OP3_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+places AS (
+  SELECT doc_id, w, CASE WHEN len(w) = 0 THEN [] ELSE range(1, greatest(len(w) - 2, 1) + 1) END AS spots FROM w WHERE w IS NOT NULL),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s FROM (SELECT doc_id, w, unnest(spots) AS i FROM places)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * i >= 90 * (x.n + y.n - i)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c.component_id
+FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)
+"""
+
+
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 # (host, path, verdict)
 URL_RULES = [
     ("net", "/", "block"),
@@ -183,18 +211,93 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_tokens", "ended")
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _canonical_sql(text: str) -> str:
+    out = _LOWER.format(f"coalesce({text}, '')")
+    for given, used in SPELLINGS:
+        out = f"replace({out}, {_quoted(given)}, {_quoted(used)})"
+    out = f"regexp_replace({out}, {_quoted(COPYRIGHT_LINE)}, '', 'g')"
+    return f"trim(regexp_replace({out}, {_quoted(SIGNS)}, ' ', 'g'))"
+
+
+OP8_SQL = f"""
+WITH listed(license, text) AS (VALUES {", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in KNOWN)}),
+known AS (SELECT sha256({_canonical_sql("text")}) AS digest, min(license) AS license FROM listed GROUP BY 1),
+lines AS (
+  SELECT doc_id, sha256({_canonical_sql("line")}) AS digest
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
+found AS (
+  SELECT doc_id, count(*) AS n, string_agg(DISTINCT license, ',' ORDER BY license) AS names
+  FROM lines JOIN known USING (digest) GROUP BY doc_id),
+texts AS (SELECT doc_id, sha256({_canonical_sql("text")}) AS digest FROM documents)
+SELECT t.doc_id, k.license, coalesce(f.names, '') AS line_licenses, coalesce(f.n, 0) AS license_lines, t.digest
+FROM texts t LEFT JOIN known k USING (digest) LEFT JOIN found f USING (doc_id)
+"""
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan(docs, known_licenses(spark)).withColumn("line_licenses", F.array_join("line_licenses", ","))
+
+
+_PASSAGE = (
+    r"trim(regexp_replace(regexp_replace(line, '^(?:[ \t]*>)+', ''), "
+    r"'[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+', ' ', 'g'))"
+)
+OP10_SQL = rf"""
+WITH RECURSIVE lines AS (
+  SELECT conv_id, turn, line, len(regexp_replace(regexp_extract(line, '^(?:[ \t]*>)+'), '[^>]', '', 'g')) AS level,
+         {_LOWER.format(_PASSAGE)} AS passage
+  FROM (SELECT conv_id, turn, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM conversations)),
+written AS (SELECT conv_id, passage, min(turn) AS reply_to FROM lines WHERE level = 0 AND passage != '' GROUP BY 1, 2),
+votes AS (
+  SELECT l.conv_id, l.turn, level, reply_to, sum(len(passage)) AS n, count(*) AS quoted
+  FROM lines l JOIN written w USING (conv_id, passage) WHERE level > 0 AND reply_to < l.turn GROUP BY ALL),
+links AS (
+  SELECT conv_id, turn, reply_to, quoted FROM votes
+  QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, n DESC, reply_to DESC) = 1),
+up(conv_id, turn, root, depth) AS (
+  SELECT conv_id, turn, reply_to, CAST(1 AS BIGINT) FROM links
+  UNION ALL
+  SELECT u.conv_id, u.turn, l.reply_to, u.depth + 1 FROM up u JOIN links l ON l.conv_id = u.conv_id AND l.turn = u.root),
+top AS (SELECT conv_id, turn, min(root) AS root, max(depth) AS depth FROM up GROUP BY ALL),
+threaded AS (
+  SELECT c.conv_id, c.turn, role, reply_to, coalesce(root, c.turn) AS root, coalesce(depth, 0) AS depth,
+         coalesce(quoted, 0) AS quoted_lines,
+         trim(array_to_string(list_filter(string_split(coalesce(text, ''), chr(10)),
+                                          lambda x: NOT regexp_matches(x, '^(?:[ \t]*>)+')), chr(10)), ' ') AS content
+  FROM conversations c LEFT JOIN links l USING (conv_id, turn) LEFT JOIN top t USING (conv_id, turn))
+SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY root, turn, role, content) - 1 AS position,
+       '<|' || coalesce(role, '') || '|>' || chr(10) || content || chr(10) AS formatted
+FROM threaded
+"""
+
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_messages(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
+    "op3_ngram_join": op3_ngram_join,
     "op4_url_filter": op4_url_filter,
     "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
     "op7_token_packing": op7_token_packing,
+    "op8_license_scan": op8_license_scan,
     "op9_token_counts": op9_token_counts,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL,
     "op2_mixing": OP2_SQL,
+    "op3_ngram_join": OP3_SQL,
     "op4_url_filter": OP4_SQL,
     "op5_decontamination": OP5_SQL,
+    "op8_license_scan": OP8_SQL,
+    "op10_chat_formatting": OP10_SQL,
 }
