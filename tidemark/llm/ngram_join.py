@@ -146,19 +146,34 @@ def _sums(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.array((total[bounds[1:]] - total[bounds[:-1]]).view(np.int64))
 
 
-def _picked(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id is listed; a Bloom filter keeps most other texts out of the shuffle."""
-    listed = ids.select(F.col("id").alias("listed"))
+def _maybe(docs: DataFrame, listed: DataFrame) -> DataFrame:
+    """``docs`` with a column ``maybe``, false only where the id is certainly not listed.
+
+    A Bloom filter of bounded size tells, so that most texts need no shuffle to be told apart.
+    """
     blocks = 1
     while blocks < min(MAX_BLOCKS, row_count(listed) * BITS_PER_ENTRY // 64 + 1):
         blocks *= 2
     bloom = F.broadcast(bloom_blocks(listed, "listed", blocks))
-    possible = (
-        docs.withColumns({"block": _block(F.col("id"), blocks), "want": _bits(F.col("id"))})
-        .join(bloom, "block")
-        .where(F.col("bits").bitwiseAND(F.col("want")) == F.col("want"))
-    )
-    return possible.select("id", "text").join(listed, F.col("id") == F.col("listed"), "left_semi")
+    tested = docs.withColumns({"block": _block(F.col("id"), blocks), "want": _bits(F.col("id"))})
+    hit = F.col("bits").bitwiseAND(F.col("want")) == F.col("want")
+    return tested.join(bloom, "block", "left").withColumn("maybe", F.coalesce(hit, F.lit(False)))
+
+
+def _picked(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id is listed."""
+    listed = ids.select(F.col("id").alias("listed"))
+    possible = _maybe(docs, listed).where("maybe").select("id", "text")
+    return possible.join(listed, F.col("id") == F.col("listed"), "left_semi")
+
+
+def _others(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id is not listed."""
+    listed = ids.select(F.col("id").alias("listed"))
+    tested = _maybe(docs, listed)
+    possible = tested.where("maybe").select("id", "text")
+    rest = possible.join(listed, F.col("id") == F.col("listed"), "left_anti")
+    return tested.where("NOT maybe").select("id", "text").unionByName(rest)
 
 
 def _candidate_sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
@@ -304,23 +319,25 @@ def ngram_jaccard_join(
     texts = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
 
     def summary(hashes, bounds):
-        keys, ends = sketch_keys(hashes, bounds, threshold)
         sums = [_sums(mixed(hashes), bounds), _sums(mixed(hashes ^ _GOLDEN), bounds)]
-        return [pa.array(np.diff(bounds).astype(np.int64)), *sums, _longs(keys, ends)]
+        return [pa.array(np.diff(bounds).astype(np.int64)), *sums]
 
-    kinds = {"n": T.LongType(), "d1": T.LongType(), "d2": T.LongType(), "keys": T.ArrayType(T.LongType())}
-    sets = materialize(_sets(texts, n, kinds, summary))
-    classes = (
-        sets.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("id").alias("first")).where("first IS NOT NULL")
-    )
+    def part_sketches(hashes, bounds):
+        return [_longs(*sketch_keys(hashes, bounds, threshold))]
+
+    digest = ["d1", "d2", "n"]
+    sets = materialize(_sets(texts, n, {"n": T.LongType(), "d1": T.LongType(), "d2": T.LongType()}, summary))
+    classes = sets.where("n > 0").groupBy(*digest).agg(F.min("id").alias("first")).where("first IS NOT NULL")
     classes = materialize(classes)
+    copies = sets.join(classes, digest).where("id != first").select("id").distinct()
+    copies = materialize(copies.join(classes, F.col("id") == F.col("first"), "left_anti"))
 
     # Runs of two or more representatives with an equal part sketch.
-    leaders = sets.select("id", "n", "keys").join(classes, F.col("id") == F.col("first"), "left_semi")
+    leaders = _sets(_others(texts, copies), n, {"keys": T.ArrayType(T.LongType())}, part_sketches)
     shared = F.count(F.lit(1)).over(Window.partitionBy("key"))
-    members = materialize(
-        leaders.select("id", "n", F.explode("keys").alias("key")).withColumn("m", shared).where("m > 1").drop("m")
-    )
+    runs_of = leaders.where("id IS NOT NULL").select("id", F.explode("keys").alias("key")).withColumn("m", shared)
+    members = materialize(runs_of.where("m > 1").select("key", "id"))
+    members = materialize(members.join(classes.select(F.col("first").alias("id"), "n"), "id").select("key", "id", "n"))
     grams = materialize(_candidate_sets(texts, materialize(members.select("id").distinct()), n))
 
     # Stars: every run against one of its members, another one each time.
