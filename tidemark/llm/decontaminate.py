@@ -160,7 +160,8 @@ def _pass(docs: DataFrame, test, item_type: T.DataType, all_rows: bool) -> DataF
         return pa.ListArray.from_arrays(pa.array(bounds), values)
 
     def find(batches):
-        suffixes, names = test.value
+        made, names = test.value
+        suffixes = Suffixes(**made)
         names = pa.array(names, arrow[4].value_type)
         for batch in slices(batches, "text", SHARD_BYTES):
             found, hits, pairs = search(batch.column("text"), suffixes)
@@ -204,7 +205,9 @@ def contamination(
     passes = []
     for block in range(blocks):
         part = tests.where(F.col("block") == block).select("item", "text").orderBy("item", "text").collect()
-        test = spark.sparkContext.broadcast((suffixes_of([r["text"] for r in part], window), [r["item"] for r in part]))
+        # Plain arrays: workers need no class of this package to read them.
+        made = vars(suffixes_of([r["text"] for r in part], window))
+        test = spark.sparkContext.broadcast((made, [r["item"] for r in part]))
         found = _pass(rows, test, tests.schema["item"].dataType, all_rows=block == 0)
         # One block in memory at a time: with several, each pass is stored before the next.
         passes.append(found if blocks == 1 else materialize(found))

@@ -2,11 +2,11 @@
 
 A document is the set of hashes of its word n-grams.  Two sets with Jaccard similarity ``t`` or
 more differ in at most ``d = s (1 - t) / t`` elements, ``s`` being the size of the smaller one.
-Sizes are cut into bands; in a band the hash range is cut into ``d + 1`` parts, and the elements
-of a part are XORed into a 64-bit sketch, one bit each.  An element that differs can change the
-sketch of one part only, so two similar sets agree in the sketch of at least one part (the
-Hamming distance never exceeds the symmetric difference).  Sets that share a sketch are
-candidates; candidates are verified on the sets themselves.
+Sizes are cut into bands; in a band the hash range is cut into more than ``d`` parts, and the
+hashes of a part's elements are XORed into a 64-bit sketch.  An element that differs changes the
+sketch of one part only: the distance between sketches, counted in parts, never exceeds the
+symmetric difference.  So two similar sets agree in at least one part.  Sets that share a sketch
+are candidates; candidates are verified on the sets themselves.
 
 No group of candidates is expanded into all pairs.
 
@@ -50,6 +50,10 @@ SKETCH_BITS = 2048
 # Members of a run against which all others are verified, one after the other.
 STARS = 3
 BAND_RATIO = 1.45
+# Parts to spare, relative to the parts times the odds of differing elements.
+SPARE = 1.6
+# Elements up to which a part may be left out.
+MOST_LEFT_OUT = 6
 _SLICE_BYTES = 4 << 20
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -87,15 +91,22 @@ def band_edges(threshold: tuple[int, int]) -> np.ndarray:
 
 
 def sketch_keys(hashes: np.ndarray, bounds: np.ndarray, threshold: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of all part sketches of every set, and the bounds of each set's keys.
+    """Keys of part sketches of every set, and the bounds of each set's keys.
 
     ``hashes`` ascend in each set.  A set takes part in the band of its size and, as the larger one
     of a pair, in the band below if a set of that band can be similar to it.
+
+    A set of size s differs from a similar one in at most ``s (1 - t) / t`` parts, so parts that
+    hold few elements, and say little, need no key as long as they are fewer than the parts that
+    must agree: whichever of two similar sets leaves out more of them, a part with more elements
+    than it leaves out still agrees.
     """
     num, den = threshold
     edges = band_edges(threshold)
-    # Most differing elements where the smaller set is the largest of its band, plus one.
-    parts_of = (edges[1:] - 1) * (den - num) // num + 1
+    # Most differing elements where the smaller set is the largest of its band.  So many parts are
+    # made beyond that that those with few elements can be left out.
+    most = (edges[1:] - 1) * (den - num) // num
+    parts_of = most + 1 + np.ceil((most + 1) * SPARE * (den - num) / num).astype(np.int64)
     sizes = np.diff(bounds)
     band = np.searchsorted(edges, sizes, side="right") - 1
     lower = (band >= 1) & (sizes * num <= (edges[np.maximum(band, 0)] - 1) * den)
@@ -106,20 +117,27 @@ def sketch_keys(hashes: np.ndarray, bounds: np.ndarray, threshold: tuple[int, in
     parts = parts_of[group] if len(group) else np.zeros(0, np.int64)
     base = np.cumsum(parts) - parts
     total = int(parts.sum())
-    sketch = np.zeros(total, np.uint64)
+    sketch, held = np.zeros(total, np.uint64), np.zeros(total, np.int64)
     at = expanded(bounds[owner], sizes[owner])
     if len(at):
         h = hashes[at]
         k = np.repeat(parts.astype(np.uint64), sizes[owner])
         # Ascending hashes give ascending parts.
         slot = np.repeat(base, sizes[owner]) + (((h >> np.uint64(32)) * k) >> np.uint64(32)).astype(np.int64)
-        bit = np.uint64(1) << (h & np.uint64(63))
         first = np.flatnonzero(np.diff(slot, prepend=-1))
-        sketch[slot[first]] = np.bitwise_xor.reduceat(bit, first)
+        sketch[slot[first]] = np.bitwise_xor.reduceat(mixed(h ^ _GOLDEN), first)
+        held[slot[first]] = np.diff(np.append(first, len(slot)))
+    member = np.repeat(np.arange(len(parts)), parts)
+    spare = parts - np.minimum(sizes[owner] * (den - num) // num, most[group]) - 1 if len(group) else parts
+    left_out = np.full(len(parts), -1)
+    for few in range(MOST_LEFT_OUT + 1):
+        enough = np.bincount(member, held <= few, len(parts)) <= spare
+        left_out[enough] = few
+    kept = held > left_out[member]
     part = np.arange(total) - np.repeat(base, parts)
-    label = np.repeat(group, parts).astype(np.uint64) * np.uint64(1 << 40) + part.astype(np.uint64)
-    keys = mixed(sketch ^ mixed(label + _GOLDEN))
-    ends = np.concatenate([[0], np.cumsum(np.bincount(owner, parts, len(sizes)).astype(np.int64))])
+    label = group[member].astype(np.uint64) * np.uint64(1 << 40) + part.astype(np.uint64)
+    keys = mixed(sketch ^ mixed(label + _GOLDEN))[kept]
+    ends = np.concatenate([[0], np.cumsum(np.bincount(owner[member][kept], minlength=len(sizes)))])
     return keys, ends
 
 
@@ -323,7 +341,7 @@ def ngram_jaccard_join(
         return [pa.array(np.diff(bounds).astype(np.int64)), *sums]
 
     def part_sketches(hashes, bounds):
-        return [_longs(*sketch_keys(hashes, bounds, threshold))]
+        return [pa.array(np.diff(bounds).astype(np.int64)), _longs(*sketch_keys(hashes, bounds, threshold))]
 
     digest = ["d1", "d2", "n"]
     sets = materialize(_sets(texts, n, {"n": T.LongType(), "d1": T.LongType(), "d2": T.LongType()}, summary))
@@ -333,11 +351,11 @@ def ngram_jaccard_join(
     copies = materialize(copies.join(classes, F.col("id") == F.col("first"), "left_anti"))
 
     # Runs of two or more representatives with an equal part sketch.
-    leaders = _sets(_others(texts, copies), n, {"keys": T.ArrayType(T.LongType())}, part_sketches)
+    kinds = {"n": T.LongType(), "keys": T.ArrayType(T.LongType())}
+    leaders = _sets(_others(texts, copies), n, kinds, part_sketches).where("id IS NOT NULL")
     shared = F.count(F.lit(1)).over(Window.partitionBy("key"))
-    runs_of = leaders.where("id IS NOT NULL").select("id", F.explode("keys").alias("key")).withColumn("m", shared)
-    members = materialize(runs_of.where("m > 1").select("key", "id"))
-    members = materialize(members.join(classes.select(F.col("first").alias("id"), "n"), "id").select("key", "id", "n"))
+    runs_of = leaders.select("id", "n", F.explode("keys").alias("key")).withColumn("m", shared)
+    members = materialize(runs_of.where("m > 1").select("key", "id", "n"))
     grams = materialize(_candidate_sets(texts, materialize(members.select("id").distinct()), n))
 
     # Stars: every run against one of its members, another one each time.
@@ -346,14 +364,19 @@ def ngram_jaccard_join(
     for star in range(STARS):
         rank = F.col("id") if star == 0 else F.xxhash64("id", F.lit(star))
         hubs = left.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), "id", "n", "component")).alias("hub"))
-        pairs = (
+        starred = (
             left.join(hubs, "key")
             .where(F.col("hub.component") != F.col("component"))
             .where(_similar_sizes(F.col("hub.n"), F.col("n"), threshold))
-            .select(F.least("hub.id", "id").alias("a"), F.greatest("hub.id", "id").alias("b"))
-            .distinct()
+            .groupBy("id", F.col("hub.id").alias("hub"))
+            .agg(F.count(F.lit(1)).alias("shared"))
         )
+        # Of the hubs of its runs, a document is verified against the one it shares most parts with.
+        best = starred.groupBy("id").agg(F.max(F.struct("shared", "hub")).alias("best")).select("id", "best.hub")
+        pairs = best.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
         found = _verified(grams, pairs, threshold)
+        if star and found.isEmpty():
+            break
         links = found if links is None else links.unionByName(found)
         labels = components(links)
         left = materialize(_unresolved(members if star == 0 else left.select("key", "id", "n"), labels))

@@ -1,11 +1,13 @@
 """Quality classifier: attention-based multiple-instance learning.
 
 A document is a bag of passages of ``PASSAGE_WORDS`` words.  Every passage of the whole text is
-encoded from its letters (hashed byte trigrams, shares of character classes, word statistics) by a
-learned layer.  Gated attention, ``softmax(w . (tanh(V h) * sigmoid(U h)))``, weighs the passages,
-and a logistic layer scores the weighted sum.  All layers are learned together from document
-labels, with numpy, on a sample of at most ``SAMPLE`` labelled documents (those with the smallest
-hash of their id); the model is a few thousand numbers, and scoring is one pass over the texts.
+encoded from its letters (hashed byte trigrams, shares of character classes, word statistics, as
+deviations from the mean passage that shrink in short passages) by a learned layer.  Gated
+attention, ``softmax(w . (tanh(V h) * sigmoid(U h)))``, weighs the passages, and a logistic layer
+scores the weighted sum.  All layers are learned together from document labels, with numpy, on a
+sample of at most ``SAMPLE`` labelled documents (those with the smallest hash of their id), and on
+mean passages with the mean label, so that a text that says little is scored like most others.
+The model is a few thousand numbers, and scoring is one pass over the texts.
 
 Defined results: a text without words (NULL, empty) is one passage of zeros and gets that
 passage's score; a label without a document, a document without a label and a NULL label are not
@@ -22,13 +24,20 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.arrays import LOWER, NOT_SPACE, raw, words
+from tidemark.llm.arrays import LOWER, NOT_SPACE, expanded, raw, words
 from tidemark.llm.encoder import slices
 
 PASSAGE_WORDS = 64
 SAMPLE = 4_000
 TRIGRAMS = 256
 EPOCHS = 30
+# Steps of learning at least, however few the labels.
+STEPS = 900
+# Many single trigrams against a few shares that each say more.
+TRIGRAM_WEIGHT = 0.25
+# Documents learned from per mean passage that is added.
+ANCHORED = 20
+# Bytes at which a passage's deviations count half.
 PRIOR_BYTES = 256
 _SLICE_BYTES = 4 << 20
 
@@ -60,12 +69,14 @@ def passages(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         return out, np.append(first_of, total)
     owner = found.owner
     passage = first_of[owner] + (np.arange(n) - found.bounds[owner]) // PASSAGE_WORDS
-    # A passage's bytes run to the first word of the next one.
+    # A passage's bytes run to the first word of the text's next one, or to the text's end.
     opens = np.flatnonzero(np.diff(passage, prepend=-1))
-    limits = np.append(found.starts[opens], len(data))
-    low, high = limits[0], limits[-1]
-    of_byte = np.repeat(passage[opens], np.diff(limits))
-    body = data[low:high]
+    text = owner[opens]
+    starts, stops = found.starts[opens], bounds[text + 1]
+    stops[:-1] = np.where(text[1:] == text[:-1], starts[1:], stops[:-1])
+    body = data[expanded(starts, stops - starts)]
+    of_byte = np.repeat(passage[opens], stops - starts)
+    text = np.repeat(text, stops - starts)
 
     length = np.bincount(of_byte, minlength=total).astype(np.float32)
     share = 1 / np.maximum(length, 1)
@@ -73,9 +84,9 @@ def passages(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if len(body) > 2:
         code = LOWER[body].astype(np.uint32)
         gram = (code[:-2] * 0x9E3779B1 + code[1:-1] * 0x85EBCA6B + code[2:] * 0xC2B2AE35).astype(np.uint32) >> 24
-        grams = np.bincount(of_byte[:-2] * TRIGRAMS + gram, minlength=total * TRIGRAMS).reshape(total, TRIGRAMS)
-        # A few trigrams say little, so those of a short passage weigh less.
-        out[:, :TRIGRAMS] = np.sqrt(grams / (length + PRIOR_BYTES)[:, None])
+        place = (of_byte[:-2] * TRIGRAMS + gram)[text[2:] == text[:-2]]
+        grams = np.bincount(place, minlength=total * TRIGRAMS).reshape(total, TRIGRAMS)
+        out[:, :TRIGRAMS] = np.sqrt(grams * share[:, None])
     out[:, TRIGRAMS : TRIGRAMS + 6] = classes * share[:, None]
 
     held = np.bincount(passage, minlength=total).astype(np.float32)
@@ -92,7 +103,7 @@ def passages(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     out[:, TRIGRAMS + 7] = np.bincount(passage, same, total) * per_word
     out[:, TRIGRAMS + 8] = np.bincount(passage, signs, total) * per_word
     out[:, TRIGRAMS + 9] = np.bincount(passage, found.ends - found.starts, total) * per_word / 16
-    out[:, TRIGRAMS + 10] = np.log1p(held) / 4
+    out[:, TRIGRAMS + 10] = length / (length + PRIOR_BYTES)
     return out, np.append(first_of, total)
 
 
@@ -104,10 +115,14 @@ class Model:
     scale: np.ndarray
     weights: dict[str, np.ndarray]
 
+    def scaled(self, x: np.ndarray) -> np.ndarray:
+        """Features as deviations from the mean passage, which count less in short passages."""
+        return ((x[:, :-1] - self.mean) * self.scale * x[:, -1:]).astype(np.float32)
+
     def score(self, x: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         if not len(bounds) - 1:
             return np.zeros(0)
-        return _forward(self.weights, (x - self.mean) * self.scale, bounds[:-1])["p"].astype(float)
+        return _forward(self.weights, self.scaled(x), bounds[:-1])["p"].astype(float)
 
 
 def _sigmoid(x):
@@ -148,13 +163,21 @@ def _gradients(w, x, heads, y):
     }
 
 
-def fit(x: np.ndarray, bounds: np.ndarray, y: np.ndarray, hidden=32, gate=16, epochs=EPOCHS, batch=128, decay=1e-4) -> Model:
+def fit(x: np.ndarray, bounds: np.ndarray, y: np.ndarray, hidden=32, gate=16, epochs=EPOCHS, batch=128, decay=1e-3) -> Model:
     """Learn all layers by Adam on the log loss; the same input gives the same model."""
     rng = np.random.default_rng(7)
-    mean = x.mean(axis=0)
-    scale = 1 / (x.std(axis=0) + 0.02)
-    x = ((x - mean) * scale).astype(np.float32)
+    weight = x[:, -1:].astype(np.float64)
+    mean = (x[:, :-1] * weight).sum(axis=0) / max(weight.sum(), 1e-9)
+    spread = np.sqrt((((x[:, :-1] - mean) * weight) ** 2).sum(axis=0) / max((weight**2).sum(), 1e-9))
+    scale = 1 / (spread + 0.02)
+    scale[:TRIGRAMS] *= TRIGRAM_WEIGHT
+    model = Model(mean, scale, {})
+    x = model.scaled(x)
     d = x.shape[1]
+    anchors = -(-len(y) // ANCHORED)
+    x = np.concatenate([x, np.zeros((anchors, d), x.dtype)])
+    bounds = np.concatenate([bounds, bounds[-1] + 1 + np.arange(anchors)])
+    y = np.concatenate([y, np.full(anchors, y.mean(), y.dtype)])
     w = {
         "E": rng.normal(0, d**-0.5, (d, hidden)),
         "e": np.zeros(hidden),
@@ -167,6 +190,7 @@ def fit(x: np.ndarray, bounds: np.ndarray, y: np.ndarray, hidden=32, gate=16, ep
     w = {k: v.astype(np.float32) for k, v in w.items()}
     m, v = ({k: np.zeros_like(p) for k, p in w.items()} for _ in range(2))
     step = 0
+    epochs = max(epochs, -(-STEPS * batch // len(y)))
     for epoch in range(epochs):
         rate = 3e-3 * (1 - epoch / epochs)
         order = rng.permutation(len(y))
@@ -181,7 +205,8 @@ def fit(x: np.ndarray, bounds: np.ndarray, y: np.ndarray, hidden=32, gate=16, ep
                 m[k] = 0.9 * m[k] + 0.1 * g
                 v[k] = 0.999 * v[k] + 0.001 * g * g
                 w[k] = w[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)
-    return Model(mean, scale, w)
+    model.weights.update(w)
+    return model
 
 
 def is_held_out(id: str) -> Column:
@@ -216,9 +241,9 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
 
     got = learned.mapInArrow(encode, schema).toArrow().sort_by([("_id", "ascending"), ("features", "ascending")])
     if not got.num_rows:
-        zero = {"E": np.zeros((N_FEATURES, 1)), "e": np.zeros(1), "V": np.zeros((1, 1)), "U": np.zeros((1, 1))}
+        zero = {"E": np.zeros((N_FEATURES - 1, 1)), "e": np.zeros(1), "V": np.zeros((1, 1)), "U": np.zeros((1, 1))}
         zero |= {"w": np.zeros(1), "c": np.zeros(1), "b": np.zeros(())}
-        return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), zero)
+        return Model(np.zeros(N_FEATURES - 1), np.ones(N_FEATURES - 1), zero)
     x = np.frombuffer(b"".join(got["features"].to_pylist()), np.float16).reshape(-1, N_FEATURES).astype(np.float32)
     bounds = np.append(0, np.cumsum(got["n"].to_numpy()))
     return fit(x, bounds, got["y"].to_numpy().astype(np.float32))
@@ -226,13 +251,14 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
 
 def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, score."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain arrays: workers need no class of this package to read them.
+    shared = docs.sparkSession.sparkContext.broadcast((model.mean, model.scale, model.weights))
     schema = T.StructType([T.StructField(id, docs.schema[id].dataType), T.StructField("score", T.DoubleType())])
     arrow_id = to_arrow_type(schema[id].dataType)
 
     def run(batches):
         for batch in slices(batches, "_text", _SLICE_BYTES):
-            scores = shared.value.score(*passages(batch.column("_text")))
+            scores = Model(*shared.value).score(*passages(batch.column("_text")))
             yield pa.RecordBatch.from_arrays([batch.column("_id").cast(arrow_id), pa.array(scores, pa.float64())], names=schema.names)
 
     return docs.select(F.col(id).alias("_id"), F.col(text).alias("_text")).mapInArrow(run, schema)
@@ -240,11 +266,12 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
 
 def keep_good(docs: DataFrame, model: Model, threshold: float, text: str = "text") -> DataFrame:
     """Rows of ``docs`` with at least this score."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain arrays: workers need no class of this package to read them.
+    shared = docs.sparkSession.sparkContext.broadcast((model.mean, model.scale, model.weights))
 
     def run(batches):
         for batch in slices(batches, text, _SLICE_BYTES):
-            scores = shared.value.score(*passages(batch.column(text)))
+            scores = Model(*shared.value).score(*passages(batch.column(text)))
             yield batch.filter(pc.greater_equal(pa.array(scores, pa.float64()), threshold))
 
     return docs.mapInArrow(run, docs.schema)
