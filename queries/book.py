@@ -10,6 +10,7 @@ from queries.registry import query, sql_round
 from tidemark.plans.book import build_book
 from tidemark.plans.label import build_abt, label_inactivity, monthly_activity
 from tidemark.plans.spec import month_starts
+from tidemark.session import shared_path
 from tidemark.sources.fixtures import BRANDS, CUSTOMER_SPEC, SUPPLIER_SPEC, book_tables, table
 from tidemark.sources.loading import table_counts
 from tidemark.sources.tables import latest_vintage
@@ -242,7 +243,10 @@ _LATEST_KEY = "SELECT * FROM ({abt}) q WHERE dt_ref = (SELECT max(dt_ref) FROM (
 
 @query("latest_vintage", _LATEST_KEY.format(abt=abt_sql()))
 def _(spark, sf_dir):
-    return latest_vintage(customer_abt(spark, sf_dir))
+    path = shared_path(spark)
+    customer_abt(spark, sf_dir).write.partitionBy("dt_ref").parquet(path)
+    abt = spark.read.parquet(path)
+    return latest_vintage(abt)
 
 
 _TABLES = (

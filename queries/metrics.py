@@ -281,6 +281,21 @@ def _(spark, sf_dir):
     )
 
 
+_ZERO = "SELECT CAST(o_orderkey % 5 AS DOUBLE) AS y, o_orderkey % 5 + CASE WHEN o_orderpriority = '1-URGENT' THEN 0 ELSE 1 END AS p, o_orderstatus AS g FROM orders WHERE o_orderpriority <> '1-URGENT' OR o_orderkey % 5 <> 0 OR o_orderstatus = 'O'"
+
+
+@query(
+    "regression_zero_truth",
+    f"""SELECT g AS "Conjunto", CASE WHEN bool_or(y = 0 AND p = 0) THEN CAST('nan' AS DOUBLE) WHEN bool_or(y = 0) THEN CAST('inf' AS DOUBLE)
+          ELSE avg(abs((y - p) / y)) * 100 END AS "MAPE" FROM ({_ZERO}) f GROUP BY g""",
+)
+def _(spark, sf_dir):
+    """Truths of zero, predicted right and wrong."""
+    table(spark, sf_dir, "orders").createOrReplaceTempView("_orders_zero")
+    df = spark.sql(_ZERO.replace("FROM orders", "FROM _orders_zero"))
+    return evaluate.regression_metrics(df, "y", "p", "g", "shifted").select("Conjunto", "MAPE")
+
+
 @query("event_rate_by_band")
 def _(spark, sf_dir):
     """Ties are spread by a hash that has no counterpart in other engines."""

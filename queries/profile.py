@@ -103,14 +103,13 @@ def _(spark, sf_dir):
 
 @query(
     "narrowed_values",
-    """SELECT p_partkey::SMALLINT AS p_partkey, p_size::TINYINT AS p_size, p_retailprice::FLOAT AS p_retailprice
-       FROM part""",
+    """SELECT p_partkey::INTEGER AS p_partkey, p_size::INTEGER AS p_size, p_retailprice::FLOAT AS p_retailprice,
+         'int int float' AS kinds FROM part""",
 )
 def _(spark, sf_dir):
     small = profile.normalize_types(profile.narrow_types(table(spark, sf_dir, "part"))[0])
-    return small.select(
-        F.col("p_partkey").cast("smallint"), F.col("p_size").cast("tinyint"), "p_retailprice"
-    )
+    chosen = small.select("p_partkey", "p_size", "p_retailprice")
+    return chosen.withColumn("kinds", F.lit(" ".join(kind for _, kind in chosen.dtypes)))
 
 
 @query(

@@ -120,7 +120,9 @@ def _(spark, sf_dir):
 @query("bivariate_of", f"""{_BIV} SELECT * FROM biv WHERE "Variavel" = 'n_chars'""")
 def _(spark, sf_dir):
     table_ = screening.bivariate_table(_features(spark, sf_dir), "quality")
-    return rounded(screening.bivariate_of(screening.merge_bivariate(table_, table_), "n_chars"))
+    # An older table with other figures for the same ranges: the newer rows must win.
+    older = table_.withColumns({"IV": F.lit(-1.0), "Total": F.col("Total") + 1})
+    return rounded(screening.bivariate_of(screening.merge_bivariate(older, table_), "n_chars"))
 
 
 @query("iv_ranking", f"""{_BIV} SELECT "Variavel", {sql_even('sum("IV")', 2)} AS "IV" FROM biv GROUP BY 1""")

@@ -24,6 +24,7 @@ from tidemark.operators import (
 )
 from tidemark.operators.dedupe import keep_first, keep_last
 from tidemark.operators.quantiles import exact_quantiles, group_quantiles
+from tidemark.plans.modeling import assemble
 
 
 @pytest.fixture(scope="module")
@@ -302,7 +303,34 @@ def test_screening_drops_flat_and_repeated(spark):
     got = selection.screen_features(df, "y", threshold=0.9, min_variance=0.01, keep=["id"])
     assert set(got.dropped) == {"b", "flat", "c"} and got.frame.columns == ["id", "y", "a"]
     assert got.frame.count() == 300
-    assert selection.screen_features(df, "y", sample=50, keep=["id"]).frame.count() == 50
+
+
+def test_correlation_uses_complete_pairs(spark):
+    rng = random.Random(8)
+    rows = [(x := rng.gauss(0, 1), x + rng.gauss(0, 1) if rng.random() < 0.5 else None, float("nan") if i % 3 else x * x, 4.0) for i in range(400)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    got = np.array(selection.correlations(df, ["a", "b", "c", "d"]))
+    want = df.toPandas().corr().to_numpy()
+    assert np.allclose(got[:3, :3], want[:3, :3]) and np.isnan(got[3, :3]).all()
+
+
+def test_boolean_without_values_is_filled(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, None)], "flag boolean, x double")
+    filled = impute.fit_imputer(df, "mean", ["x"], ["flag"]).transform(df).collect()
+    assert {r.flag for r in filled} == {impute.NO_MODE}
+
+
+def test_levels_with_dots_can_be_assembled(spark):
+    df = spark.createDataFrame([("St. Louis", 1), ("a`b", 0)], "city string, y int")
+    encoder = encode.fit_one_hot(df, ["city"])
+    got = assemble(encoder.transform(df), encoder.names()).collect()
+    assert {tuple(r["features"].toArray()) for r in got} == {(1.0, 0.0), (0.0, 1.0)}
+
+
+def test_constant_column_gets_equal_width_bins(spark):
+    df = spark.createDataFrame([(5.0,), (5.0,), (None,)], "x double")
+    got = {r["BIN_x"]["bin"] for r in binning.categorize_numeric(df, 4).collect()}
+    assert None in got and len(got) == 2
 
 
 def test_histogram_box_and_density(skewed, pdf):

@@ -115,9 +115,15 @@ def text_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
 def categorize_numeric(
     df: DataFrame, bins: int = 10, prefix: str = "BIN_", target: str | None = None
 ) -> DataFrame:
-    """Every numeric column but the target becomes a (bin, lo, hi) column named prefix + name."""
+    """Every numeric column but the target becomes a (bin, lo, hi) column named prefix + name.
+
+    Columns whose quantiles give no interval (all equal) get equal-width bins.
+    """
     numbers = numeric_columns(df, (target,) if target else ())
     fitted = quantile_bins(df, numbers, bins)
+    flat = [c for c in numbers if len(fitted[c].edges) < 2]
+    if flat:
+        fitted |= width_bins(df, flat, bins)
     return df.select(
         *[fitted[c].bounds(F.col(c)).alias(prefix + c) if c in fitted else F.col(c) for c in df.columns]
     )

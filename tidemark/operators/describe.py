@@ -6,11 +6,15 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from tidemark.functions.scalars import count_below, double_array
-from tidemark.operators.binning import linspace, numeric_columns
+from tidemark.operators.binning import numeric_columns
 from tidemark.operators.profile import low_cardinality_features
 from tidemark.operators.quantiles import exact_quantiles
 
+# Bandwidths beyond which a Gaussian kernel is zero in double precision.
+REACH = 39.0
+# Classes whose quantiles are taken in one pass.
+CLASSES_AT_ONCE = 50
+
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """(columns..., Count, Percentage) of the complete rows, most frequent first, then a Total row."""
@@ -77,32 +81,23 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 30, by: str | None
 
     With ``by`` every class is binned over its own value range.
     """
-    groups = _groups(df, by)
-    cells = {}
-    for c in columns:
-        for g in groups:
-            x = _clean(F.col(c)) if by is None else F.when(F.col(by) == F.lit(g), _clean(F.col(c)))
-            cells[c, g] = x
-    keys = list(cells)
-    row = df.agg(*[f(cells[k]).alias(f"{t}{i}") for i, k in enumerate(keys) for t, f in (("a", F.min), ("b", F.max))]).first()
-    parts = []
-    for i, (c, g) in enumerate(keys):
-        low, high = row[f"a{i}"], row[f"b{i}"]
-        if low is None:
-            continue
-        if low == high:
-            low, high = low - 0.5, high + 0.5
-        edges = linspace(low, high, bins)
-        index = count_below(cells[c, g], edges[1:-1], inclusive=True)
-        lo, hi = (F.get(double_array(edges), index + s) for s in (0, 1))
-        parts.append(
-            F.when(
-                cells[c, g].isNotNull(),
-                F.struct(F.lit(c).alias("variable"), F.lit(g).alias("class"), index.alias("bin"), lo.alias("lo"), hi.alias("hi")),
-            )
-        )
-    tall = df.select(F.explode(F.array_compact(F.array(*parts))).alias("h")).select("h.*")
-    out = tall.groupBy("variable", "class", "bin", "lo", "hi").agg(F.count(F.lit(1)).alias("n"))
+    # One row per distinct value, so that the edges are joined to far fewer rows than there are.
+    values = _tall(df, columns, by).groupBy("variable", "class", "v").agg(F.count(F.lit(1)).alias("m"))
+    low, high = F.min("v"), F.max("v")
+    ranges = values.groupBy("variable", "class").agg(
+        F.when(low == high, low - 0.5).otherwise(low).alias("a"), F.when(low == high, high + 0.5).otherwise(high).alias("b")
+    )
+    step = (F.col("b") - F.col("a")) / F.lit(float(bins))
+    edges = F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda i: i * step + F.col("a"))
+    ranges = ranges.select("variable", "class", F.array_append(edges, F.col("b")).alias("edges"))
+    placed = _matched(values, ranges).withColumn(
+        "bin", F.size(F.filter(F.slice("edges", 2, bins - 1), lambda e: e <= F.col("v")))
+    )
+    out = (
+        placed.groupBy("variable", "class", "bin")
+        .agg(F.first("edges").alias("edges"), F.sum("m").alias("n"))
+        .select("variable", "class", "bin", F.get("edges", F.col("bin")).alias("lo"), F.get("edges", F.col("bin") + 1).alias("hi"), "n")
+    )
     if density:
         whole = Window.partitionBy("variable", "class")
         out = out.withColumn("density", F.col("n") / (F.sum("n").over(whole) * (F.col("hi") - F.col("lo"))))
@@ -114,7 +109,14 @@ def box_stats(df: DataFrame, columns: list[str], by: str | None = None, **quanti
 
     Whiskers reach the outermost values within 1.5 interquartile ranges of the box.
     """
-    groups = _groups(df, by)
+    parts = [_box_stats(df, columns, by, groups, **quantile_options) for groups in _class_parts(df, by)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out if by is not None else out.drop("class")
+
+
+def _box_stats(df: DataFrame, columns: list[str], by: str | None, groups: list, **quantile_options) -> DataFrame:
     cells = {
         (c, g): _clean(F.col(c)) if by is None else F.when(F.col(by) == F.lit(g), _clean(F.col(c)))
         for c in columns
@@ -143,7 +145,7 @@ def box_stats(df: DataFrame, columns: list[str], by: str | None = None, **quanti
         f"variable string, class {kind}, q1 double, median double, q3 double,"
         " whisker_lo double, whisker_hi double, outliers bigint",
     )
-    return out if by is not None else out.drop("class")
+    return out
 
 
 def kernel_density(
@@ -151,58 +153,66 @@ def kernel_density(
 ) -> DataFrame:
     """(variable, [class], point, x, density): Gaussian kernel, Scott bandwidth, on an even grid.
 
-    Each distinct value adds its kernel to every grid point; the sums are taken on the map side,
-    so the shuffle carries at most grid points per task, whatever the number of rows.
+    Each distinct value adds its kernel to the grid points within ``REACH`` bandwidths; the sums are
+    taken on the map side, so the shuffle carries at most grid points per task and class.
     """
-    groups = _groups(df, by)
-    cells = {
-        (c, g): _clean(F.col(c)) if by is None else F.when(F.col(by) == F.lit(g), _clean(F.col(c)))
-        for c in columns
-        for g in groups
-    }
-    keys = list(cells)
-    fns = (("n", F.count), ("s", F.stddev_samp), ("a", F.min), ("b", F.max))
-    row = df.agg(*[f(cells[k]).alias(f"{t}{i}") for i, k in enumerate(keys) for t, f in fns]).first()
-    parts, setups = [], []
-    for i, (c, g) in enumerate(keys):
-        n, s = row[f"n{i}"], row[f"s{i}"]
-        if n < 2 or not s:
-            continue
-        width = s * n ** (-1 / 5)
-        low, high = row[f"a{i}"] - cut * width, row[f"b{i}"] + cut * width
-        setups.append((i, c, g, n, width, low, (high - low) / (grid - 1)))
-        parts.append(F.when(cells[c, g].isNotNull(), F.struct(F.lit(i).alias("id"), cells[c, g].alias("v"))))
-    kind = df.schema[by].dataType.simpleString() if by else "string"
-    setup = df.sparkSession.createDataFrame(
-        setups, f"id int, variable string, class {kind}, n bigint, width double, low double, step double"
-    )
-    values = (
-        df.select(F.explode(F.array_compact(F.array(*parts))).alias("p"))
-        .select("p.*")
-        .groupBy("id", "v")
-        .agg(F.count(F.lit(1)).alias("m"))
-        .join(F.broadcast(setup), "id")  # one row per (column, class)
+    rows = _tall(df, columns, by)
+    width = F.col("s") * F.pow(F.col("n").cast("double"), F.lit(-1 / 5))
+    setup = (
+        rows.groupBy("variable", "class")
+        .agg(F.count("v").alias("n"), F.stddev_samp("v").alias("s"), F.min("v").alias("a"), F.max("v").alias("b"))
+        .where("n >= 2 AND s > 0")
+        .withColumn("width", width)
+        .withColumn("low", F.col("a") - cut * F.col("width"))
+        .withColumn("step", (F.col("b") + cut * F.col("width") - F.col("low")) / (grid - 1))
+        .select("variable", "class", "n", "width", "low", "step")
     )
+    counted = rows.groupBy("variable", "class", "v").agg(F.count(F.lit(1)).alias("m"))
+    values = _matched(counted, setup)
+
+    def _point(widths: float, last: int) -> Column:
+        """Grid point that many bandwidths from the value, inside the grid."""
+        at = (F.col("v") + widths * F.col("width") - F.col("low")) / F.col("step")
+        return F.greatest(at, F.lit(0.0)).cast("int") if widths < 0 else F.least(F.ceil(at), F.lit(last)).cast("int")
+
     x = F.col("low") + F.col("point") * F.col("step")
     z = (x - F.col("v")) / F.col("width")
     kernel = F.col("m") * F.exp(-0.5 * z * z) / (F.col("n") * F.col("width") * F.lit(math.sqrt(2 * math.pi)))
+    every = setup.select("*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
+    empty = every.select("variable", "class", "point", x.alias("x"), F.lit(0.0).alias("k"))
     out = (
-        values.select("*", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
+        values.select("*", F.explode(F.sequence(_point(-REACH, 0), _point(REACH, grid - 1))).alias("point"))
         .select("variable", "class", "point", x.alias("x"), kernel.alias("k"))
+        .unionByName(empty)
         .groupBy("variable", "class", "point", "x")
         .agg(F.sum("k").alias("density"))
     )
     return out if by is not None else out.drop("class")
 
 
-def _groups(df: DataFrame, by: str | None, limit: int = 100) -> list:
-    """Values of the class column; charts by class need few of them."""
+def _tall(df: DataFrame, columns: list[str], by: str | None) -> DataFrame:
+    """(variable, class, v): every value of the columns, without missing values and classes."""
+    kind = df.schema[by].dataType.simpleString() if by else "string"
+    group = F.col(by) if by else F.lit(None).cast(kind)
+    cells = F.array(*[F.struct(F.lit(c).alias("variable"), _clean(F.col(c)).alias("v")) for c in columns])
+    rows = df.where(F.col(by).isNotNull()) if by else df
+    out = rows.select(group.alias("class"), F.inline(cells)).where("v IS NOT NULL")
+    return out.select("variable", "class", "v")
+
+
+def _matched(values: DataFrame, setup: DataFrame) -> DataFrame:
+    """Join on variable and class, where the class may be NULL."""
+    right = setup.withColumnsRenamed({"variable": "_variable", "class": "_class"})
+    on = (F.col("variable") == F.col("_variable")) & F.col("class").eqNullSafe(F.col("_class"))
+    return values.join(right, on).drop("_variable", "_class")
+
+
+def _class_parts(df: DataFrame, by: str | None) -> list[list]:
+    """Values of the class column, ``CLASSES_AT_ONCE`` at a time."""
     if by is None:
-        return [None]
-    found = [r[0] for r in df.select(by).where(F.col(by).isNotNull()).distinct().limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"{by} has more than {limit} classes")
-    return sorted(found)
+        return [[None]]
+    found = sorted(r[0] for r in df.select(by).where(F.col(by).isNotNull()).distinct().collect())
+    return [found[i : i + CLASSES_AT_ONCE] for i in range(0, len(found), CLASSES_AT_ONCE)] or [[]]
 
 
 def _clean(col: Column) -> Column:

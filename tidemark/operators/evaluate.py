@@ -315,15 +315,19 @@ def target_balance(df: DataFrame, target: str) -> DataFrame:
 
 
 def regression_metrics(df: DataFrame, truth: str, pred: str, split: str, algorithm: str) -> DataFrame:
-    """(Algoritmo, Conjunto, R2, MAE, MSE, RMSE, MAPE) per split in one aggregation."""
+    """(Algoritmo, Conjunto, R2, MAE, MSE, RMSE, MAPE) per split in one aggregation.
+
+    A wrong prediction of a zero makes MAPE infinite, a right one makes it NaN.
+    """
     y, e = F.col(truth).cast("double"), F.col(truth).cast("double") - F.col(pred).cast("double")
     mse = F.avg(e * e)
+    of_zero = F.when(e == 0, F.lit(float("nan"))).otherwise(F.lit(float("inf")))
     return df.where(F.col(truth).isNotNull() & F.col(pred).isNotNull()).groupBy(F.col(split).alias("Conjunto")).agg(
         F.lit(algorithm).alias("Algoritmo"),
         (1 - mse / F.nullif(F.var_pop(y), F.lit(0.0))).alias("R2"),
         F.avg(F.abs(e)).alias("MAE"),
         mse.alias("MSE"),
         F.sqrt(mse).alias("RMSE"),
-        (F.avg(F.abs(e / F.nullif(y, F.lit(0.0)))) * 100).alias("MAPE"),
+        (F.avg(F.coalesce(F.abs(F.try_divide(e, y)), of_zero)) * 100).alias("MAPE"),
     )
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tidemark.functions.scalars import nan_to_null
 from tidemark.operators.encode import apply_target_encoding, fit_target_encoding
 from tidemark.operators.impute import fit_imputer
-from tidemark.operators.profile import metadata_short, sample_rows
+from tidemark.operators.profile import metadata_short
+
+# Correlations taken in one pass; more of them need more passes over the frame.
+PAIRS_AT_ONCE = 500
 
 
 def variances(df: DataFrame, columns: list[str]) -> dict[str, float]:
@@ -27,11 +30,26 @@ def low_variance(df: DataFrame, columns: list[str], minimum: float = 0.1) -> Dat
 
 
 def correlations(df: DataFrame, columns: list[str]) -> list[list[float]]:
-    """Pearson matrix; only columns x columns numbers reach the driver."""
-    vectors = VectorAssembler(inputCols=columns, outputCol="v", handleInvalid="skip").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    )
-    return Correlation.corr(vectors.select("v"), "v").first()[0].toArray().tolist()
+    """Pearson matrix; a pair uses the rows where both columns have a value.
+
+    NaN where either is constant.  Only columns x columns numbers reach the driver.
+    """
+    clean = [nan_to_null(F.col(c).cast("double"), T.DoubleType()) for c in columns]
+    pairs = [(i, j) for j in range(len(columns)) for i in range(j)]
+    matrix = [[1.0 if i == j else math.nan for j in range(len(columns))] for i in range(len(columns))]
+    for at in range(0, len(pairs), PAIRS_AT_ONCE):
+        part = pairs[at : at + PAIRS_AT_ONCE]
+        row = df.agg(*[_pearson(clean[i], clean[j]).alias(f"r{k}") for k, (i, j) in enumerate(part)]).first()
+        for k, (i, j) in enumerate(part):
+            if row[f"r{k}"] is not None:
+                matrix[i][j] = matrix[j][i] = row[f"r{k}"]
+    return matrix
+
+
+def _pearson(x: Column, y: Column) -> Column:
+    """Correlation of the complete rows, NULL where a side does not vary."""
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.when((F.min(x) < F.max(x)) & (F.min(y) < F.max(y)), F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y)))
 
 
 def correlated_pairs(df: DataFrame, columns: list[str], threshold: float = 0.5) -> DataFrame:
@@ -68,25 +86,21 @@ def screen_features(
     threshold: float = 0.5,
     max_null_pct: float = 70,
     min_variance: float | None = None,
-    sample: int | None = None,
-    sample_key: list[str] | None = None,
     keep: list[str] | None = None,
 ) -> Screened:
     """Impute, target-encode and drop null-heavy, flat and correlated variables.
 
-    ``sample`` fits everything on that many hash-chosen rows, as a sampling step would; without
-    it all rows are used.  ``keep`` columns (keys) pass through untouched.
+    All rows are used.  ``keep`` columns (keys) pass through untouched.
     """
     keep = keep or []
-    rows = sample_rows(df, sample_key or keep, sample) if sample else df
     features = [c for c in df.columns if c != target and c not in keep]
-    profile = metadata_short(rows.select(*features))
+    profile = metadata_short(df.select(*features))
     order = {r["nome_variavel"]: r["percent_nulos"] for r in profile.collect()}
     usable = sorted((c for c in features if order[c] <= max_null_pct), key=lambda c: (-order[c], c))
-    kinds = dict(rows.dtypes)
+    kinds = dict(df.dtypes)
     texts = [c for c in usable if kinds[c] in ("string", "boolean")]
     numbers = [c for c in usable if c not in texts]
-    base = rows.select(*keep, target, *numbers, *[F.col(c).cast("string").alias(c) for c in texts])
+    base = df.select(*keep, target, *numbers, *[F.col(c).cast("string").alias(c) for c in texts])
     filled = fit_imputer(base, "mean", numbers, texts).transform(base)
     for c in texts:
         table, mean = fit_target_encoding(filled, c, target)

@@ -26,6 +26,7 @@ from tidemark.sources.tables import (
     next_version,
     register_version,
 )
+from tidemark.session import materialize
 
 
 def train_and_register(
@@ -45,8 +46,10 @@ def train_and_register(
     spark = abt.sparkSession
     parts = temporal_split(abt, train, test)
     rows, held = (parts.where(F.col("split") == s).drop("split") for s in ("train", "test"))
+    # Read by the encoders, the forest, the booster and the metrics.
+    rows, held = materialize(rows), materialize(held)
     prep = fit_preprocessor(rows, target, key)
-    ready = transform_training(prep, rows, target, key)
+    ready = materialize(transform_training(prep, rows, target, key))
     chosen = forest_importance(ready, prep.names(), target, **(importance_params or {})).where("Selected").collect()
     selected = [r["Feature"] for r in chosen]
     model = fit_boosting(ready, selected, target, params)

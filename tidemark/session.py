@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,17 +42,13 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "tidem
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; fall back to a scratch folder in local mode only."""
+    """Use the shared folder named by ``spark.checkpoint.dir``; where that is unset, one in the
+    warehouse, which driver and executors share as well."""
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        sc.setCheckpointDir(shared)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-checkpoint-"))
-    else:
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+    sc.setCheckpointDir(shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
 
 
 def materialize(df: DataFrame) -> DataFrame:
