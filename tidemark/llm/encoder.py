@@ -17,9 +17,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Words a worker remembers (some 200 bytes each) before it starts afresh.
-REMEMBERED = 350_000
+REMEMBERED = 500_000
 # Bytes of text handled at once, so that memory does not follow the size of Arrow's batches.
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 4 << 20
 # Letters, then other ASCII signs but digits, white space and the apostrophe of "'s", "'ll" ...:
 # the pre-tokenizer always cuts between the two.
 _PARTS = re.compile(r"([a-zA-ZÀ-ÖØ-öø-įı-ſ]*)([!-&(-/:-@\[-`{-~]*)")
