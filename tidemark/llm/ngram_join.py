@@ -169,8 +169,8 @@ def _maybe(docs: DataFrame, listed: DataFrame) -> DataFrame:
 
     A Bloom filter of bounded size tells, so that most texts need no shuffle to be told apart.
     """
-    blocks = 1
-    while blocks < min(MAX_BLOCKS, row_count(listed) * BITS_PER_ENTRY // 64 + 1):
+    blocks, wanted = 1, min(MAX_BLOCKS, row_count(listed) * BITS_PER_ENTRY // 64 + 1)
+    while blocks < wanted:
         blocks *= 2
     bloom = F.broadcast(bloom_blocks(listed, "listed", blocks))
     tested = docs.withColumns({"block": _block(F.col("id"), blocks), "want": _bits(F.col("id"))})
@@ -307,6 +307,11 @@ def _similar_sizes(n_a, n_b, threshold):
     return den * F.least(n_a, n_b) >= num * F.greatest(n_a, n_b)
 
 
+def _with_links(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """Edges with the components of ``labels`` and the links of ``found``."""
+    return labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(found.select("a", "b"))
+
+
 def _unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of the runs that lie in more than one component, with component and size of the run."""
     named = members.join(labels.withColumnRenamed("node", "id"), "id", "left").select(
@@ -360,7 +365,7 @@ def ngram_jaccard_join(
 
     # Stars: every run against one of its members, another one each time.
     left = members.withColumn("component", F.col("id"))
-    links, labels = None, None
+    labels = None
     for star in range(STARS):
         rank = F.col("id") if star == 0 else F.xxhash64("id", F.lit(star))
         hubs = left.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), "id", "n", "component")).alias("hub"))
@@ -377,8 +382,7 @@ def ngram_jaccard_join(
         found = _verified(grams, pairs, threshold)
         if star and found.isEmpty():
             break
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
+        labels = components(found if labels is None else _with_links(labels, found))
         left = materialize(_unresolved(members if star == 0 else left.select("key", "id", "n"), labels))
         if left.isEmpty():
             break
@@ -389,7 +393,7 @@ def ngram_jaccard_join(
     across = across.unionByName(_across_large(large, _sketches(grams), threshold))
     across = materialize(across.distinct())
     if not across.isEmpty():
-        labels = components(links.unionByName(_verified(grams, across, threshold)))
+        labels = components(_with_links(labels, _verified(grams, across, threshold)))
 
     named = classes.join(labels.withColumnRenamed("node", "first"), "first", "left").select(
         "d1", "d2", "n", F.coalesce("component", "first").alias("component")
