@@ -41,22 +41,23 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
 class WordEncoder:
     """Encodes words; one per worker, tokenizer file and treatment of special strings."""
 
-    def __init__(self, path: str, special_is_text: bool):
+    def __init__(self, path: str, special_is_text: bool, remembered: int | None = None):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_is_text
+        self.remembered = remembered or REMEMBERED
         self.known: dict[str, bytes] = {"": b""}
 
     @staticmethod
-    def of_worker(path: str, special_is_text: bool = False) -> "WordEncoder":
+    def of_worker(path: str, special_is_text: bool = False, remembered: int | None = None) -> "WordEncoder":
         """The encoder this worker already has; it outlives the task, as the module does."""
         import tokenizers
 
         kept = vars(tokenizers).setdefault("_kept_word_encoders", {})
         if (path, special_is_text) not in kept:
-            kept[path, special_is_text] = WordEncoder(path, special_is_text)
+            kept[path, special_is_text] = WordEncoder(path, special_is_text, remembered)
         return kept[path, special_is_text]
 
     def _ids(self, text: str) -> bytes:
@@ -94,7 +95,7 @@ class WordEncoder:
         distinct = words.dictionary.to_pylist()
         at = words.indices.to_numpy(zero_copy_only=False)
         unseen = [w for w in distinct if w not in self.known]
-        if len(self.known) + len(unseen) > REMEMBERED:
+        if len(self.known) + len(unseen) > self.remembered:
             self.known = {"": b""}
             unseen = distinct
         self._learn(unseen)

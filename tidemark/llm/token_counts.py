@@ -25,6 +25,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 from tidemark.llm.encoder import WordEncoder, slices, with_end
 
 BLOCK_IDS = 1 << 17
+# Less than elsewhere: the scan's workers stand beside the writer's.
+REMEMBERED = 350_000
+SLICE_BYTES = 3 << 20
 CHUNK = 1024
 
 
@@ -65,8 +68,8 @@ def write_flat(
             )
 
         # A special string in a text is ordinary text, so the end id never comes from a text.
-        encoder = WordEncoder.of_worker(tokenizer, special_is_text=True)
-        for batch in slices(batches, "text"):
+        encoder = WordEncoder.of_worker(tokenizer, special_is_text=True, remembered=REMEMBERED)
+        for batch in slices(batches, "text", SLICE_BYTES):
             counts, ids = with_end(*encoder.encode(batch.column("text")), end_id)
             own = batch.column("id").to_pylist()
             starts = len(held) + np.cumsum(counts) - counts
