@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("book", "profile", "binning", "screening", "encoding", "metrics", "descriptive", "models")
+_MODULES = ("book", "profile", "binning", "screening", "encoding", "metrics", "descriptive", "models", "storage")
 
 
 def load_all() -> None:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators.dedupe import keep_first
+from tidemark.session import materialize
 from tidemark.sources.schemas import PRIMARY_KEYS, SCHEMAS
 
 
@@ -57,6 +58,17 @@ def load_table(spark: SparkSession, table: str, raw_path: str, out_path: str) ->
     return spark.read.parquet(out_path)
 
 
+def append_table(spark: SparkSession, table: str, raw_path: str, out_path: str) -> DataFrame:
+    """Append a raw file's rows to a landed table; rows whose key it already holds are left out."""
+    new = first_per_key(read_raw(spark, table, raw_path), table)
+    key = PRIMARY_KEYS.get(table)
+    if key is not None:
+        new = new.join(spark.read.parquet(out_path).select(key), key, "left_anti")
+    # Stored first: the same table is read and written.
+    materialize(new.select(*SCHEMAS[table].names)).write.mode("append").parquet(out_path)
+    return spark.read.parquet(out_path)
+
+
 def load_all(spark: SparkSession, raw: dict[str, str], root: str) -> dict[str, DataFrame]:
     """Load every given table and return the landed frames."""
     return {t: load_table(spark, t, path, f"{root}/{t}") for t, path in raw.items()}
