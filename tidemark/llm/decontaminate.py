@@ -31,7 +31,7 @@ from tidemark.session import materialize
 WINDOW = 13
 # Text of the test items that is broadcast at once.
 BLOCK_BYTES = 32 << 20
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 # Words by which suffixes are chosen for the array.
 LEAD = 3
 

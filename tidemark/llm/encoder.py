@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Words a worker remembers (some 200 bytes each) before it starts afresh.
-REMEMBERED = 500_000
+REMEMBERED = 400_000
 # Bytes of text handled at once, so that memory does not follow the size of Arrow's batches.
 SLICE_BYTES = 4 << 20
 # Letters, then other ASCII signs but digits, white space and the apostrophe of "'s", "'ll" ...:
@@ -36,6 +36,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             stop = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(at, stop - at)
             at = stop
+    # Workers outlive their tasks: what the task held goes back to the system.
+    pa.default_memory_pool().release_unused()
 
 
 class WordEncoder:

@@ -54,7 +54,7 @@ BAND_RATIO = 1.45
 SPARE = 1.6
 # Elements up to which a part may be left out.
 MOST_LEFT_OUT = 6
-_SLICE_BYTES = 4 << 20
+_SLICE_BYTES = 2 << 20
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 

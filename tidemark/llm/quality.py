@@ -39,7 +39,7 @@ TRIGRAM_WEIGHT = 0.25
 ANCHORED = 20
 # Bytes at which a passage's deviations count half.
 PRIOR_BYTES = 256
-_SLICE_BYTES = 4 << 20
+_SLICE_BYTES = 1 << 20
 
 
 def _classes() -> np.ndarray:
