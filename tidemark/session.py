@@ -14,6 +14,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Hash instead of sort where every partition of a join's build side has been measured small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Texts are long: small batches bound the memory of Python workers and of what feeds them.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16MB",
     # Split a hot join key even when that costs one more exchange further up.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
