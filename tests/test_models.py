@@ -1,11 +1,14 @@
 """Training, scoring and loading jobs."""
 
 from datetime import date
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from queries import models
+from queries.registry import QUERIES
 from tidemark.plans import modeling, scoring
 from tidemark.session import shared_path
 from tidemark.sources import loading, tables
@@ -78,6 +81,20 @@ def test_search_stops_and_keeps_the_best(abt):
     assert got.auc == max(aucs) > 0.8 and len(aucs) <= 4
 
 
+def test_registered_search_does_not_watch_the_clock(spark, abt, monkeypatch):
+    """With a clock that leaps an hour at each look, all trials up to the patience still run."""
+    aucs = iter([0.6, 0.7] + [0.5] * 60)
+    looks = iter(range(0, 10**9, 3600))
+    monkeypatch.setattr(models, "_train", lambda spark, sf_dir: (abt, ["idle", "noise"]))
+    monkeypatch.setattr(modeling, "_cross_validated", lambda *a: next(aucs))
+    monkeypatch.setattr(modeling, "time", SimpleNamespace(monotonic=lambda: float(next(looks))))
+    monkeypatch.setattr(models, "TARGET", TARGET)
+    monkeypatch.setattr(models, "KEY", KEY)
+    # The final model counts for nothing here.
+    monkeypatch.setattr(modeling, "draw_params", lambda rng, space=None: {"maxIter": 1, "maxDepth": 1})
+    assert QUERIES["gbt_search"](spark, "").count() == 2 + 10
+
+
 def test_train_register_score(spark, abt):
     root = shared_path(spark)
     with pytest.raises(ValueError):
