@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -157,6 +158,26 @@ def test_license_scan(spark):
     assert {r["license"] for r in license_scan(docs, listed.where("false")).collect()} == {None}
 
 
+def test_full_license_texts(spark):
+    """Documents that are full texts as people give them: title, copyright lines, other list signs, wrapping."""
+    texts = {f.stem: f.read_text() for f in (Path(licenses.__file__).parent / "license_texts").glob("*.txt")}
+    mine = "Copyright (c) 2016-present, Some One <a@b.c>\n"
+    docs = [(name, mine + "\n" + text) for name, text in texts.items()]
+    docs += [
+        ("MIT", "The MIT License (MIT)\n\n" + mine + "\n" + " ".join(texts["MIT"].split())),
+        ("ISC", "ISC License\n\n" + mine + mine + "\n" + texts["ISC"].upper()),
+        ("BSD-3-Clause", mine + "All rights reserved.\n\n" + texts["BSD-3-Clause"].replace("1. ", " * ").replace("2. ", " * ").replace("3. ", " * ")),
+        ("BSD-2-Clause", "BSD 2-Clause License\n" + mine + "All rights reserved.\n" + texts["BSD-2-Clause"]),
+        ("Apache-2.0", texts["Apache-2.0"].split("APPENDIX")[0]),
+        ("GPL-3.0-only", texts["GPL-3.0-only"].replace("http://", "https://")),
+        (None, texts["MIT"].replace("free of charge", "for a fee")),
+    ]
+    rows = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(docs)], "doc_id int, text string")
+    got = {r["doc_id"]: r["license"] for r in license_scan(rows, licenses.known_licenses(spark)).collect()}
+    assert [(want, got[i]) for i, (want, _) in enumerate(docs) if got[i] != want] == []
+    assert {"MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Zlib", "Unlicense", "Apache-2.0", "GPL-3.0-only"} <= set(texts)
+
+
 def test_license_spellings(spark):
     one = spark.createDataFrame([("The Licence (c) of an Organisation; https://x",)], "t string").select(canonical(F.col("t")))
     assert one.first()[0] == "the license © of an organization http x"

@@ -3,7 +3,8 @@
 A text is brought into a canonical form (case, copyright lines, equivalent spellings, punctuation)
 and its SHA-256 digest is joined with the digests of known license texts.  The entire text of a
 document is looked up, and every line of it as a text of its own, which finds license notices.
-The list of licenses is a table; Spark broadcasts it only where it has measured it to be small.
+The list of licenses is a table; Spark broadcasts its digests only where it has measured them to
+be small.  The built-in list holds the notices below and the full texts in ``license_texts``.
 
 Defined results: NULL, empty and punctuation-only texts and lines match nothing; of licenses with
 equal canonical texts the first name counts; repeated rows get equal results, also for a NULL id;
@@ -12,9 +13,13 @@ an empty list or table is allowed.  Only the id and the text are read.
 
 from __future__ import annotations
 
+import re
+from importlib.resources import files
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm.text import ascii_lower, whole
+from tidemark.session import materialize
 
 # Spellings that license matching treats as equal.
 SPELLINGS = [
@@ -56,9 +61,57 @@ KNOWN = [
 ]
 
 
+# Titles that full texts are given with or without.
+TITLES = {
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License'],
+    "BSD-3-Clause": [
+        "BSD 3-Clause License", "The BSD 3-Clause License", "BSD License", 'BSD 3-Clause "New" or "Revised" License',
+    ],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)"],
+    "Zlib": ["zlib License", "The zlib License", "zlib License (Zlib)"],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+}
+APPENDIX = "APPENDIX: How to apply the Apache License to your work."
+_NOTICE = re.compile(r"\s*(copyright|©)\s*(\(c\)|©|\[|<|\d|$)", re.IGNORECASE)
+
+
+def _unwrapped(text: str) -> str:
+    """A text with one line per paragraph; copyright notices stay lines of their own."""
+    out, joins = [], False
+    for line in text.split("\n"):
+        notice = _NOTICE.match(line) is not None
+        if joins and line.strip() and not notice:
+            out[-1] += " " + line.strip()
+        else:
+            out.append(line.strip())
+        joins = bool(line.strip()) and not notice
+    return "\n".join(out)
+
+
+def license_texts() -> list[tuple[str, str]]:
+    """Full texts by SPDX name, as they are usually given: with and without a title, list numbers
+    or an appendix, and with lines as in the original or one line per paragraph."""
+    bodies = {f.name[: -len(".txt")]: f.read_text("utf-8") for f in (files(__package__) / "license_texts").iterdir()}
+    out = []
+    for name, body in sorted([*bodies.items(), ("0BSD", KNOWN[-1][1])]):
+        forms = [body]
+        if name.startswith("BSD"):
+            forms.append(re.sub(r"(?m)^\d\. ", "* ", body))
+        if APPENDIX in body:
+            forms.append(body[: body.index(APPENDIX)])
+        forms += [_unwrapped(f) for f in forms]
+        heads = ["", *[t + "\n\n" for t in TITLES.get(name, [])]]
+        if name in TITLES:
+            heads += [h + "All rights reserved.\n\n" for h in heads]
+        out += [(name, head + form) for head in heads for form in forms]
+    return out
+
+
 def known_licenses(spark: SparkSession) -> DataFrame:
-    """The built-in list: license, text."""
-    return spark.createDataFrame(KNOWN, "license string, text string")
+    """The built-in list, notices and full texts: license, text."""
+    return spark.createDataFrame(KNOWN + license_texts(), "license string, text string")
 
 
 def canonical(text: Column) -> Column:
@@ -79,7 +132,8 @@ def license_digests(licenses: DataFrame) -> DataFrame:
 def license_scan(docs: DataFrame, licenses: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, license (of the entire text), line_licenses (distinct, in
     order), license_lines (number of lines that are a license text), digest (of the canonical text)."""
-    known = license_digests(licenses)
+    # Stored, so that its size is that of the digests, not of the texts.
+    known = materialize(license_digests(licenses))
     texts = docs.select(F.col(id).alias("id"), whole(F.col(text)).alias("text"))
     named = known.select(F.col("digest").alias("line_digest"), F.col("license").alias("line_license"))
     lines = (
