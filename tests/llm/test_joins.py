@@ -177,6 +177,18 @@ def test_contamination_equals_brute_force(spark, block_bytes):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(map(str, want))
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 25, 100])
+def test_contamination_with_repeated_items(spark, block_bytes):
+    """Rows of one item, equal or with different texts, list its id once, in one block or several."""
+    a, b = " ".join(f"a{i}" for i in range(14)), " ".join(f"b{i}" for i in range(14))
+    items = [(1, a), (1, a), (1, b), (2, b), (2, "alone"), (None, a), (None, a)]
+    docs = spark.createDataFrame([(1, f"{a} {b}"), (2, "alone"), (3, f"{b} alone"), (4, "none")], "doc_id long, text string")
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    got = contamination(docs, tests, block_bytes=block_bytes).collect()
+    listed = {r["doc_id"]: sorted(map(str, r["items"])) for r in got}
+    assert listed == {1: ["1", "2", "None"], 2: ["2"], 3: ["1", "2"], 4: []}
+
+
 def test_contamination_without_items_or_documents(spark):
     rows, items = contaminated_corpus()
     docs = spark.createDataFrame(rows, "doc_id long, text string")

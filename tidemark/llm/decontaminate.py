@@ -12,7 +12,8 @@ are never shuffled.
 
 Defined results: a NULL text has no words and is never contaminated; an item with fewer words than
 the window, but not none, is one window; NULL items and items without words match nothing;
-repeated rows get the same result; no items, no matches.  Only the id and the text are read.
+repeated rows get the same result; an id in several rows of items is listed once; no items, no
+matches.  Only the id and the text are read.
 """
 
 from __future__ import annotations
@@ -222,7 +223,7 @@ def contamination(
         F.aggregate(words_of, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_hit"),
         "spans",
         F.coalesce(F.array_max(words_of), F.lit(0)).alias("longest"),
-        "items",
+        F.array_distinct("items").alias("items"),  # an id can stand in several rows
     )
 
 
@@ -249,7 +250,7 @@ def _merged(passes: list[DataFrame]) -> DataFrame:
         "a.text_hash",
         "n_words",
         F.expr(merge).alias("spans"),
-        F.expr("array_distinct(concat(items, coalesce(i2, array())))").alias("items"),
+        F.expr("concat(items, coalesce(i2, array()))").alias("items"),
     )
 
 
