@@ -214,6 +214,45 @@ def _(spark, sf_dir):
     )
 
 
+def preaggregated_sql(dates_cte: str) -> str:
+    """All metrics of the supplier book, with every item, order and review counted once."""
+    plain = book_sql(dates_cte, "seller_id")
+    start, end = plain.index("wide AS ("), plain.index("aged AS (")
+    named = ", ".join(f"'{b}'" for b in BRANDS)
+    brands = [b.lower().replace("#", "_") for b in BRANDS]
+    counts = ", ".join(f"count(*) FILTER (WHERE p_brand = '{b}') AS qtd_{c}" for b, c in zip(BRANDS, brands))
+    raw = f"""
+win AS (SELECT ref.d, ord.* FROM ref JOIN ord ON ord.bought >= ref.d - INTERVAL 6 MONTH AND ord.bought < ref.d),
+per_review AS (
+  SELECT oid, count(rid) AS n, count(score) AS ns, sum(score) AS ss, max(score) AS smax, min(score) AS smin,
+    count(*) FILTER (WHERE score >= 4) AS ngood, count(*) FILTER (WHERE score < 4) AS npoor
+  FROM rev GROUP BY oid),
+per_order AS (
+  SELECT DISTINCT d, supp AS e, win.oid, itm.oid AS item_order, bought, due, got FROM win LEFT JOIN itm USING (oid)),
+by_order AS (
+  SELECT d, e, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rev, CAST(sum(ss) AS DOUBLE) / nullif(sum(ns), 0) AS rs,
+    max(smax) AS rmax, min(smin) AS rmin, sum(ngood) AS good, sum(npoor) AS poor, sum(n) AS nr,
+    max(bought) AS last_at, count(DISTINCT month(bought)) AS active, count(*) FILTER (WHERE due < got) AS late,
+    avg(CASE WHEN due < got THEN {_DAYS.format(a="got", b="due")} ELSE 0 END) AS days_late,
+    avg({_DAYS.format(a="due", b="bought")}) AS planned, count(item_order) AS n_ord
+  FROM per_order LEFT JOIN per_review USING (oid) GROUP BY d, e),
+by_item AS (
+  SELECT d, supp AS e, CAST(sum(price) AS DOUBLE) AS rev_tot, count(price) AS n_price,
+    CAST(sum(freight) AS DOUBLE) AS frt, count(freight) AS n_frt, count(prod) AS n_prod, count(DISTINCT prod) AS d_prod,
+    {counts}, count(*) FILTER (WHERE p_brand NOT IN ({named})) AS qtd_outros
+  FROM win LEFT JOIN itm USING (oid) LEFT JOIN part ON prod = p_partkey GROUP BY d, supp),
+raw AS (
+  SELECT o.*, i.* EXCLUDE (d, e) FROM by_order o JOIN by_item i ON o.d = i.d AND o.e IS NOT DISTINCT FROM i.e),
+"""
+    return plain[:start] + raw.lstrip() + plain[end:]
+
+
+@query("book_preaggregated_all", preaggregated_sql(_dates_cte([SUPPLIER_DATE])))
+def _(spark, sf_dir):
+    """Corrected variant with all metrics."""
+    return build_book(book_tables(spark, sf_dir), [SUPPLIER_DATE], SUPPLIER_SPEC, fanout="preaggregate")
+
+
 @query(
     "monthly_activity",
     """SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS dt_venda, l_suppkey AS seller_id

@@ -9,7 +9,7 @@ from queries.common import LABELLED_SQL, bin_sql, labelled, quantile_edges_sql,
 from queries.registry import query, sql_even, sql_round
 from tidemark.operators import screening, selection
 from tidemark.session import materialize
-from tidemark.sources.fixtures import table
+from tidemark.sources.fixtures import BRANDS, table
 
 
 def counts_sql(numbers: list[str], texts: list[str], target: str, q: int = 10) -> str:
@@ -96,6 +96,29 @@ def _(spark, sf_dir):
     )
 
 
+# All metrics of the book.
+_BOOK_NUMBERS = (
+    "qtd_avaliacoes_recebidas review_score_medio review_score_max review_score_min prop_reviews_positivos "
+    "prop_reviews_negativos idade_dias_base idade_meses_base idade_dias_ult_venda meses_ativado perc_tempo_ativado "
+    "qtd_atraso prop_atraso media_dias_atraso med_dias_entrega_estimada receita_tot qtd_vendas preco_medio_produto "
+    "frete_medio receita_frete_total proporcao_frete_sobre_vendas tkt_med_venda tkt_med_venda_mes "
+    "tkt_med_venda_mes_ativado qtd_prod_vend qtd_prod_dst_vend tkt_med_venda_prod med_prod_por_vendas"
+).split() + [*["qtd_" + b.lower().replace("#", "_") for b in BRANDS], "qtd_outros"]
+
+
+@query(
+    "iv_table_abt_all",
+    f"""SELECT v AS "Variavel", coalesce("IV", 0.0::DOUBLE) AS "IV", coalesce("Preditividade", 'Inútil para a predição') AS "Preditividade"
+        FROM (SELECT unnest([{", ".join(f"'{c}'" for c in _ABT_TEXTS + _BOOK_NUMBERS)}]) AS v) names
+        LEFT JOIN ({_iv_sql(f"f AS MATERIALIZED ({abt_sql()}), {counts_sql(_BOOK_NUMBERS, _ABT_TEXTS, 'flag_churn_3m')}")}) found
+        ON v = "Variavel\"""",
+)
+def _(spark, sf_dir):
+    """Information value of every variable of the base table; one with a single bin scores zero."""
+    abt = materialize(customer_abt(spark, sf_dir))
+    return rounded(screening.iv_table(abt.drop("customer_id", "dt_ref"), "flag_churn_3m"))
+
+
 _BIV = f"""WITH {_DOC_F}, {_DOC_COUNTS},
   totals AS (SELECT feature, sum(n) AS tn, sum(n1) AS t1 FROM counts GROUP BY feature),
   a AS (SELECT c.*, tn, t1, n - n1 AS n0, {sql_even("n1 / nullif(t1, 0) * 100", 2)} AS p1,

@@ -5,6 +5,8 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from queries import book, load_all
+from queries.registry import QUERIES
 from tidemark.plans.book import BookTables, build_book
 from tidemark.plans.jobs import abt_job, book_job
 from tidemark.plans.label import build_abt, label_inactivity, monthly_activity
@@ -236,3 +238,11 @@ def test_unknown_options_are_refused(spark):
         build_book(tables, [D], fanout="other")
     with pytest.raises(ValueError):
         build_book(tables, [], BookSpec())
+
+
+def test_queries_of_all_metrics_leave_none_out(spark):
+    load_all()
+    metrics = set(book.customer_abt(spark, SF).columns) - {"customer_id", "dt_ref", "flag_churn_3m"}
+    assert len(metrics) == 50  # 48 and two places
+    assert {r["Variavel"] for r in QUERIES["iv_table_abt_all"](spark, SF).collect()} == metrics
+    assert set(QUERIES["book_preaggregated_all"](spark, SF).columns) == metrics | {"dt_ref", "seller_id"}
