@@ -241,6 +241,22 @@ def test_saved_one_hot(spark, tmp_path):
         encode.apply_saved_one_hot(df.drop("d"), path)
 
 
+def test_one_hot_of_1001_levels(spark, tmp_path):
+    rows = [(f"l{i % 1001:04d}", None, i % 2) for i in range(1002)] + [(None, None, 0)]
+    df = spark.createDataFrame(rows, "c string, empty string, y int")
+    path = str(tmp_path / "hot")
+    wide = encode.one_hot_and_save(df.drop("empty"), "y", path)
+    assert wide.columns == ["y"] + [f"c_l{i:04d}" for i in range(1001)]
+    assert encode.apply_saved_one_hot(df.limit(1), path, "y").columns == wide.columns
+    levels = encode.level_table(df, ["c", "empty"])
+    assert sorted(map(tuple, levels.collect())) == sorted(map(tuple, spark.read.parquet(path).collect()))
+    other = spark.createDataFrame([("new", None, 1)], df.schema)
+    got = encode.one_hot_vectors(df.unionByName(other), ["c", "empty"], levels).collect()
+    assert all(r.c.size == 1001 and r.empty.size == 0 for r in got)
+    assert sorted(int(i) for r in got for i in r.c.indices) == sorted([*range(1001), 0])
+    assert sum(len(r.c.indices) == 0 for r in got) == 2
+
+
 def test_target_encoding_blend(spark):
     rows = [("a", 1)] * 3 + [("a", 0)] + [("b", 0)] * 5 + [("c", 1)]
     df = spark.createDataFrame(rows, "c string, y int")

@@ -4,32 +4,61 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.ml.feature import OneHotEncoder
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators.binning import numeric_columns, text_columns
 from tidemark.operators.quantiles import exact_quantiles
+from tidemark.session import materialize
 
-# Most categories a literal list may hold; beyond it one-hot columns make no sense anyway.
-MAX_LEVELS = 1000
+
+def _pairs(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Distinct (feature, value) of the columns, without missing values."""
+    tall = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], columns, "feature", "value")
+    return tall.where(F.col("value").isNotNull()).distinct()
 
 
 def category_levels(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """Sorted distinct values of each column, refusing columns with too many of them."""
-    if not columns:
-        return {}
-    tall = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], columns, "feature", "value")
-    pairs = tall.where(F.col("value").isNotNull()).distinct()
-    limit = MAX_LEVELS * len(columns) + 1
-    rows = pairs.limit(limit).collect()
+    """Sorted distinct values of each column; ``level_table`` is the form without a list on the driver."""
     levels: dict[str, list[str]] = {c: [] for c in columns}
-    for r in rows:
+    for r in _pairs(df, columns).collect() if columns else []:
         levels[r["feature"]].append(r["value"])
-    wide = [c for c, v in levels.items() if len(v) > MAX_LEVELS]
-    if len(rows) == limit or wide:
-        raise ValueError(f"too many levels to one-hot encode: {wide or columns}")
     return {c: sorted(v) for c, v in levels.items()}
 
 
+def level_table(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Table (feature, position, level) of the sorted distinct values, as ``OneHot.save`` writes it."""
+    lanes = materialize(
+        _pairs(df, columns).repartitionByRange("feature", "value").withColumn("lane", F.spark_partition_id())
+    )
+    earlier = Window.partitionBy("feature").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
+    before = lanes.groupBy("feature", "lane").agg(F.count(F.lit(1)).alias("n")).select(
+        "feature", "lane", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
+    )
+    rank = F.row_number().over(Window.partitionBy("feature", "lane").orderBy("value")) - 1
+    return lanes.withColumn("rank", rank).join(before, ["feature", "lane"]).select(
+        "feature", (F.col("before") + F.col("rank")).cast("int").alias("position"), F.col("value").alias("level")
+    )
+
+
+def one_hot_vectors(df: DataFrame, columns: list[str], levels: DataFrame) -> DataFrame:
+    """Each column as a sparse vector with one place per level; unknown and missing values are all zero."""
+    counts = {r["feature"]: r["count"] for r in levels.groupBy("feature").count().collect()}
+    sizes = [counts.get(c, 0) for c in columns]
+    index = [f"_i{i}" for i in range(len(columns))]
+    out = df
+    for c, i, n in zip(columns, index, sizes):
+        lookup = levels.where(F.col("feature") == c).select(F.col("level").alias("_level"), F.col("position").alias("_at"))
+        joined = out.join(lookup, F.col(c).cast("string") == F.col("_level"), "left")
+        out = joined.select(*out.columns, F.coalesce("_at", F.lit(n)).cast("double").alias(i))
+    # The place after the last level is that of unknown values, and is dropped.
+    seen = df.sparkSession.createDataFrame([[float(n) for n in sizes]], ", ".join(f"{i} double" for i in index))
+    vectors = [f"_v{i}" for i in range(len(columns))]
+    coded = OneHotEncoder(inputCols=index, outputCols=vectors, dropLast=True).fit(seen).transform(out)
+    named = dict(zip(columns, vectors))
+    return coded.select(*[F.col(named[c]).alias(c) if c in named else F.col(c) for c in df.columns])
+
+
 @dataclass(frozen=True)
 class OneHot:
     """0/1 column per known level, named ``column_level``; unknown values are all zero."""
