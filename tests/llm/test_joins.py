@@ -94,6 +94,16 @@ def test_similar_sets_share_a_part():
             assert set(keys[: ends[1]]) & set(keys[ends[1] :])
 
 
+def test_sets_of_far_bands_share_a_part():
+    """At a similarity of a half, sizes 13 and 26 are bands apart."""
+    rng = np.random.default_rng(3)
+    for small in (*range(1, 40), 200):
+        large = np.unique(rng.integers(0, 1 << 63, 2 * small).astype(np.uint64))
+        part = np.sort(rng.choice(large, small, replace=False))
+        keys, ends = ngram_join.sketch_keys(np.concatenate([part, large]), np.array([0, small, 3 * small]), (50, 100))
+        assert set(keys[: ends[1]].tolist()) & set(keys[ends[1] :].tolist())
+
+
 def test_join_repeated_ids_and_empty(spark):
     schema = "doc_id long, text string"
     long = " ".join(f"w{i}" for i in range(50))

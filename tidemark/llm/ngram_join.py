@@ -94,7 +94,7 @@ def sketch_keys(hashes: np.ndarray, bounds: np.ndarray, threshold: tuple[int, in
     """Keys of part sketches of every set, and the bounds of each set's keys.
 
     ``hashes`` ascend in each set.  A set takes part in the band of its size and, as the larger one
-    of a pair, in the band below if a set of that band can be similar to it.
+    of a pair, in each band below of which a set can be similar to it.
 
     A set of size s differs from a similar one in at most ``s (1 - t) / t`` parts, so parts that
     hold few elements, and say little, need no key as long as they are fewer than the parts that
@@ -109,9 +109,14 @@ def sketch_keys(hashes: np.ndarray, bounds: np.ndarray, threshold: tuple[int, in
     parts_of = most + 1 + np.ceil((most + 1) * SPARE * (den - num) / num).astype(np.int64)
     sizes = np.diff(bounds)
     band = np.searchsorted(edges, sizes, side="right") - 1
-    lower = (band >= 1) & (sizes * num <= (edges[np.maximum(band, 0)] - 1) * den)
-    owner = np.concatenate([np.flatnonzero(band >= 0), np.flatnonzero(lower)])
-    group = np.concatenate([band[band >= 0], band[lower] - 1])
+    owners, groups = [np.flatnonzero(band >= 0)], [band[band >= 0]]
+    for down in range(1, len(edges)):
+        lower = (band >= down) & (sizes * num <= (edges[np.maximum(band - down + 1, 0)] - 1) * den)
+        if not lower.any():
+            break
+        owners.append(np.flatnonzero(lower))
+        groups.append(band[lower] - down)
+    owner, group = np.concatenate(owners), np.concatenate(groups)
     order = np.argsort(owner, kind="stable")
     owner, group = owner[order], group[order]
     parts = parts_of[group] if len(group) else np.zeros(0, np.int64)
