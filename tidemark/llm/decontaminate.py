@@ -193,8 +193,8 @@ def contamination(
     window: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """One row per row of ``docs``: id, text_hash, n_words, n_hit, spans (verbatim matches, as word
-    places), longest (words of the longest span), items (ids of the items that occur)."""
+    """One row per row of ``docs``: id, text_hash, n_words, n_hit, spans (unions of matching windows of
+    any items, as word places), longest (words of the longest span), items (ids of the items that occur)."""
     spark = docs.sparkSession
     tests = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("text")).where("text IS NOT NULL")
     size = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
