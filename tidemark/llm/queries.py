@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.llm.chat import chat_messages
 from tidemark.llm.decontaminate import contamination, is_contaminated
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.lexical import TOP, ranked_search
 from tidemark.llm.licenses import COPYRIGHT_LINE, KNOWN, SIGNS, SPELLINGS, known_licenses, license_scan
 from tidemark.llm.mixing import weighted_mix
 from tidemark.llm.ngram_join import ngram_jaccard_join
 from tidemark.llm.quality import is_held_out, score, train
+from tidemark.llm.sharding import OVERHEAD, SHARDS, stratified_shards
 from tidemark.llm.token_counts import document_token_counts
 from tidemark.llm.token_packing import read_documents, write_tokens
 from tidemark.llm.url_filter import url_filter
+from tidemark.llm.whitening import embedding_whitening
 from tidemark.session import configure, shared_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -280,6 +283,84 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_messages(table(spark, sf_dir, "conversations"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_whitening(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    # Exact as a decimal; a sum that passes a long raises an error.
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+OP12_SQL = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS place, regexp_extract_all({_LOWER.format("text")}, '{_TERM}') AS t FROM documents),
+sized AS (SELECT doc_id, place, t, CAST(len(t) AS BIGINT) AS n FROM d WHERE len(t) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sized),
+b AS (SELECT item_id, row_number() OVER () AS item, regexp_extract_all({_LOWER.format("text")}, '{_TERM}') AS t FROM benchmark),
+wanted AS (SELECT DISTINCT item, item_id, unnest(t) AS term FROM b),
+tf AS (
+  SELECT place, doc_id, n, term, count(*) AS tf FROM (SELECT place, doc_id, n, unnest(t) AS term FROM sized)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM df, total),
+gains AS (
+  SELECT place, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))) AS gain
+  FROM tf JOIN weights USING (term), total),
+scores AS (
+  SELECT item, item_id, place, doc_id, CAST(sum(gain) AS BIGINT) AS score FROM wanted JOIN gains USING (term)
+  GROUP BY ALL HAVING sum(gain) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores QUALIFY rank <= {TOP}
+"""
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = ranked_search(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
+# The polynomial of CRC-32; its table follows from it by rule.
+_CRC_STEPS = "list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)"
+OP13_SQL = rf"""
+WITH steps AS (SELECT list({_CRC_STEPS} ORDER BY i) AS t FROM (SELECT unnest(range(256)) AS i)),
+bytes AS (
+  SELECT doc_id, source, octet_length(encode(coalesce(text, ''))) + {OVERHEAD} AS size,
+         list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT)) AS b
+  FROM documents),
+keyed AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN 'z' ELSE 's' || source END AS skey, CAST(size AS BIGINT) AS size,
+         xor(list_reduce(list_prepend(4294967295, b), lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1])), 4294967295) AS crc
+  FROM bytes, steps),
+ordered AS (
+  SELECT *, md5('42|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || size || '|' || crc) AS o FROM keyed),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY skey ORDER BY o, doc_id, size, crc) AS r, count(*) OVER (PARTITION BY skey) AS c
+  FROM ordered),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY CAST(2 * r - 1 AS DOUBLE) / CAST(2 * c AS DOUBLE), skey, r) - 1 AS p,
+         count(*) OVER () AS n
+  FROM ranked),
+dealt AS (SELECT *, p * {SHARDS} // n AS s FROM placed)
+SELECT doc_id, size, crc AS text_crc32, 'rows' AS law, CAST(s AS INTEGER) AS shard,
+       p - (s * n + {SHARDS - 1}) // {SHARDS} AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM dealt
+"""
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stratified_shards(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return found.select(
+        "doc_id",
+        "size",
+        F.col("crc").alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_mixing": op2_mixing,
@@ -291,6 +372,9 @@ QUERIES: dict[str, Query] = {
     "op8_license_scan": op8_license_scan,
     "op9_token_counts": op9_token_counts,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_sharding": op13_sharding,
 }
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL,
@@ -300,4 +384,6 @@ ORACLES: dict[str, str] = {
     "op5_decontamination": OP5_SQL,
     "op8_license_scan": OP8_SQL,
     "op10_chat_formatting": OP10_SQL,
+    "op12_lexical_search": OP12_SQL,
+    "op13_sharding": OP13_SQL,
 }
