@@ -91,8 +91,9 @@ def _summed(rows: DataFrame, dims: int, part: Callable[[np.ndarray], np.ndarray]
         yield pa.RecordBatch.from_arrays([pa.array([place]), pa.array([total.ravel()])], names=["place", "sums"])
 
     def merged(batches):
-        table = pa.Table.from_batches(batches)
-        if table.num_rows:
+        kept = [b for b in batches if b.num_rows]
+        if kept:
+            table = pa.Table.from_batches(kept)
             for group in np.unique(table["group"].to_numpy()):
                 own = table.filter(pc.equal(table["group"], group)).sort_by("place")
                 total = np.sum(np.stack(own["sums"].to_numpy()), axis=0)
