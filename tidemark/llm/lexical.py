@@ -41,6 +41,8 @@ TOP = 50
 BLOCK_BYTES = 1 << 20
 #: Nodes times words of a tree, four bytes each.
 TREE_CELLS = 1 << 23
+#: Documents that a task searches, at most about; vectors are small, so their bytes say little.
+TASK_ROWS = 10_000
 #: A subtree of so few documents is not divided further.
 LEAF = 16
 
@@ -301,10 +303,11 @@ def ranked_search(
     size = queries.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     queries = queries.withColumn("_block", F.pmod(F.xxhash64("item_row"), F.lit(blocks)))
+    written = F.octet_length("_text") > 0  # so that a block's bytes bound its rows too
     texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     found = None
     for block in range(blocks):
-        part = queries.where((F.col("_block") == block) & F.col("_text").isNotNull())
+        part = queries.where((F.col("_block") == block) & written)
         part = part.select("item_row", "_text").orderBy("item_row").collect()  # about block_bytes
         made = block_of([r["_text"] for r in part])
         rows = spark.createDataFrame([(i, r["item_row"]) for i, r in enumerate(part)], "query long, item_row long")
@@ -318,7 +321,9 @@ def ranked_search(
         sent = spark.sparkContext.broadcast((made.terms, made.bounds, weights, place))
         m = F.expr(f"50 + (50 * n * {counts['N']}L) div {counts['L'] or 1}L")
         wanted = vectors.where(F.size("terms") > 0).select("id", m.alias("m"), "terms", "counts")
-        best = materialize(_search(wanted, sent, k).join(rows, "query").select("item_row", "id", "score"))
+        # Dealt out evenly, whatever files the vectors are read from.
+        wanted = wanted.repartition(-(-max(1, counts["N"]) // TASK_ROWS))
+        best = materialize(_search(wanted, sent, k).join(F.broadcast(rows), "query").select("item_row", "id", "score"))
         vocabulary.destroy()
         sent.destroy()
         found = best if found is None else found.unionByName(best)
