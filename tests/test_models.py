@@ -81,6 +81,95 @@ def test_search_stops_and_keeps_the_best(abt):
     assert got.auc == max(aucs) > 0.8 and len(aucs) <= 4
 
 
+def test_search_in_flight_gives_what_one_by_one_gives(abt):
+    space = {**modeling.SEARCH_SPACE, "maxIter": ("int", 1, 2), "maxDepth": ("int", 1, 2)}
+    how = dict(trials=6, patience=2, folds=2, space=space, refit=False)
+    many = modeling.search_boosting(abt, ["idle", "noise"], TARGET, KEY, parallelism=12, **how)
+    one = modeling.search_boosting(abt, ["idle", "noise"], TARGET, KEY, parallelism=1, **how)
+    assert many.trials.collect() == one.trials.collect() and many.params == one.params
+    aucs = [r.auc for r in one.trials.collect()]
+    best = aucs.index(max(aucs))
+    assert len(aucs) == min(6, best + 3)
+
+
+def test_search_stops_as_the_reference_does():
+    scores = {t: 0.5 + t / 100 for t in range(50)}
+    assert modeling._best_trial({}, 10, 50) == (None, 11)
+    assert modeling._best_trial(dict(list(scores.items())[:11]), 10, 50) == (10, 21)
+    assert modeling._best_trial({0: 0.7, **{t: 0.6 for t in range(1, 30)}}, 10, 50) == (0, 11)
+    assert modeling._best_trial({1: 0.7, 2: 0.6}, 10, 50) == (None, 11)
+
+
+def test_search_resumes_from_a_study(spark, abt, monkeypatch):
+    calls = []
+
+    def valued(estimator, df, judge, folds, parallelism):
+        calls.append(estimator.getMaxIter())
+        if len(calls) == 4:
+            raise RuntimeError("lost")
+        return 0.5 + estimator.getStepSize() / 10
+
+    monkeypatch.setattr(modeling, "_cross_validated", valued)
+    study = shared_path(spark)
+    how = dict(trials=9, patience=20, folds=2, parallelism=1, refit=False, study=study)
+    with pytest.raises(RuntimeError):
+        modeling.search_boosting(abt, ["idle", "noise"], TARGET, KEY, **how)
+    kept = spark.read.parquet(study).count()
+    assert 3 <= kept == len(calls) - 1 < 9
+    calls.extend([0] * 10)
+    before = len(calls)
+    got = modeling.search_boosting(abt, ["idle", "noise"], TARGET, KEY, **how)
+    rows = got.trials.orderBy("trial").collect()
+    assert [r.trial for r in rows] == list(range(9)) and len(calls) - before == 9 - kept
+    assert got.auc == max(r.auc for r in rows)
+    # Another setting does not take over the trials.
+    modeling.search_boosting(abt, ["idle"], TARGET, KEY, **how)
+    assert len(calls) - before == 9 - kept + 9
+
+
+def test_permutation_equals_scoring_every_row_anew(spark, abt):
+    features = ["idle", "noise", "flat", "sold"]
+    rows = abt.withColumn("flat", F.lit(3.0)).fillna(0.0, ["sold"])
+    rows = rows.unionByName(rows.limit(5))  # keys that repeat
+    model = modeling.fit_boosting(rows, features, TARGET, {"maxIter": 6, "maxDepth": 4})
+    trees = modeling.boosted_trees(model)
+    used = trees.used()
+    got = {r.feature: r.importance for r in modeling.permutation_importance(rows, model, features, TARGET, KEY, repeats=3).collect()}
+    assert got["flat"] == 0.0 and 2 not in used and set(got) == set(features)
+    # Margins of the stored trees are those of the model.
+    x = F.array(*[F.col(features[f]) for f in used]).alias("x")
+    plain = rows.select("seller_id", "dt_ref", F.col(TARGET).cast("double").alias("target"), x)
+    base = modeling.materialize(modeling._hash_ranks(plain, KEY, 42)).select("_rank", "target", "x")
+    pairs = modeling.permutation_pairs(base, 3, 42).toPandas()
+    assert sorted(pairs["_rank"]) == list(range(1, rows.count() + 1))
+
+    def precision(x):
+        wide = np.full((len(x), 4), 3.0)
+        wide[:, used] = x
+        frame = spark.createDataFrame(
+            [(int(t), *map(float, v)) for t, v in zip(pairs["target"], wide)], f"{TARGET} int, " + ", ".join(f"{f} double" for f in features)
+        )
+        scored = modeling.probability(modeling.assemble(frame, features), model, "_s").select(TARGET, "_s").toPandas()
+        total, value = scored[TARGET].sum(), 0.0
+        above = hits = 0
+        for _, tied in sorted(scored.groupby("_s"), reverse=True):
+            above, hits = above + len(tied), hits + tied[TARGET].sum()
+            value += tied[TARGET].sum() / total * hits / above
+        return value
+
+    x = np.stack(pairs["x"])
+    others = np.stack(pairs["others"]).reshape(len(x), 3, len(used))
+    start = precision(x)
+    for i, f in enumerate(used):
+        losses = []
+        for r in range(3):
+            changed = x.copy()
+            changed[:, i] = others[:, r, i]
+            assert sorted(changed[:, i]) == sorted(x[:, i])
+            losses.append(start - precision(changed))
+        assert got[features[f]] == pytest.approx(np.mean(losses), abs=1e-9)
+
+
 def test_registered_search_does_not_watch_the_clock(spark, abt, monkeypatch):
     """With a clock that leaps an hour at each look, all trials up to the patience still run."""
     aucs = iter([0.6, 0.7] + [0.5] * 60)
