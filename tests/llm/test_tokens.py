@@ -51,6 +51,38 @@ def test_word_encoder_equals_whole_texts(whole):
     assert encoder.encode(sliced)[1].tolist() == ids.tolist()
 
 
+def test_encoder_of_a_tokenizer_that_keeps_white_space():
+    """Its file says that words cannot be encoded one by one, so whole texts are."""
+    import pyarrow as pa
+
+    path = queries.tokenizer_path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    texts = NASTY + [text for _, text in texts_of()]
+    counts, ids = WordEncoder(path, False).encode(pa.array(texts, pa.string()))
+    ends = np.cumsum(counts)
+    for text, a, b in zip(texts, ends - counts, ends):
+        assert ids[a:b].tolist() == t.encode(text or "", add_special_tokens=False).ids, text
+
+
+@pytest.mark.parametrize("special_is_text", [False, True])
+def test_word_encoder_on_random_signs(special_is_text):
+    import random
+
+    import pyarrow as pa
+
+    rng = random.Random(7)
+    signs = [*"abZ09 '.,;-_<|>\n\t", "İ", "ß", "É", "é", "ſ", "×", "÷", "Ÿ", "ŉ", "Σ", "ς", "e\u0301", "\u0301", "\xa0", "\x1c", "日", "😀", "١"]
+    signs += ["<|endoftext|>", "'s", "n't", "don't", "ñ"]
+    texts = ["".join(rng.choices(signs, k=rng.randrange(0, 25))) for _ in range(6000)]
+    t = Tokenizer.from_file(queries.tokenizer_path())
+    t.encode_special_tokens = special_is_text
+    encoder = WordEncoder(queries.tokenizer_path(), special_is_text)
+    counts, ids = encoder.encode(pa.array(texts, pa.string()))
+    ends = np.cumsum(counts)
+    for text, a, b in zip(texts, ends - counts, ends):
+        assert ids[a:b].tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_encoder_starts_afresh_when_full(monkeypatch, whole):
     import pyarrow as pa
 

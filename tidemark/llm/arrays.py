@@ -79,15 +79,19 @@ def words(data: np.ndarray, bounds: np.ndarray, sign: np.ndarray) -> Words:
     at = np.searchsorted(starts, bounds)
     if not len(starts):
         return Words(np.zeros(0, np.uint64), starts, ends, at)
-    lengths = ends - starts
+    return Words(byte_hashes(LOWER[data[inside]], ends - starts), starts, ends, at)
+
+
+def byte_hashes(data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hash of each run of ``data``; the runs, none of them empty, follow one another."""
     before = np.cumsum(lengths) - lengths
     place = np.arange(int(lengths.sum())) - np.repeat(before, lengths)
-    value = _BYTE[LOWER[data[inside]]]
+    value = _BYTE[data]
     if lengths.max() > len(_PLACE):
         value *= _PLACE[place % len(_PLACE)] + (place // len(_PLACE)).astype(np.uint64) * _LAP
     else:
         value *= _PLACE[place]
-    return Words(mixed(np.add.reduceat(value, before) + lengths.astype(np.uint64)), starts, ends, at)
+    return mixed(np.add.reduceat(value, before) + lengths.astype(np.uint64))
 
 
 def runs(hashes: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
