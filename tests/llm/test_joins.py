@@ -299,3 +299,41 @@ def test_pipeline_equals_its_stages(spark):
         assert {r for r in after} <= {r for r in before}
     got = corpus_pipeline.run(spark, SF).collect()
     assert sorted(r["doc_id"] for r in got) == sorted(r["doc_id"] for r in after)
+
+
+CLASH = "doc_id long, text string, lang string, source string, n_chars long, _id int, _hash string, _gone long, row int, k0 long, l0 long, id long"
+
+
+def odd_documents(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "s", 1, 1, "h", 2, 3, 4, 5, 6) for i, t in rows], CLASH)
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    """Clashing names, NULL ids and texts, repeats and empty tables: every stage keeps the columns."""
+    passage = " ".join(f"b{i}" for i in range(40))
+    clean = [" ".join(f"c{j}_{i}" for i in range(30)) for j in range(4)]
+    rows = [(1, passage), (1, passage), (None, passage), (2, clean[0]), (3, clean[0]), (None, None), (None, clean[1])]
+    rows += [(5, None), (6, ""), (None, clean[1]), (7, clean[2]), (7, clean[2])]
+    docs = odd_documents(spark, rows)
+    bench = spark.createDataFrame([(1, passage), (2, None)], "item_id long, text string")
+    kept = remove_contaminated(docs, bench)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(map(str, (r for r in rows if r[1] != passage)))
+    one = one_of_each(docs, n=5, threshold=(80, 100))
+    assert one.columns == docs.columns
+    want = [r for r in rows if r != (3, clean[0])]
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in one.collect()))) == sorted(map(str, want))
+    none = odd_documents(spark, [])
+    assert remove_contaminated(none, bench).collect() == [] and one_of_each(none).collect() == []
+    assert remove_contaminated(docs, bench.limit(0)).count() == len(rows)
+    # Without labels every text scores one half.
+    model = quality.train(docs, spark.createDataFrame([], "doc_id long, quality int"))
+    assert quality.keep_good(docs, model, 0.5).columns == docs.columns
+    assert quality.keep_good(docs, model, 0.5).count() == len(rows) and quality.keep_good(docs, model, 0.51).count() == 0
+    assert quality.keep_good(none, model, 0.5).collect() == []
+
+
+def test_pipeline_on_an_empty_table(spark, tmp_path):
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []

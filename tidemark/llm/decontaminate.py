@@ -27,6 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.arrays import ALNUM, expanded, raw, runs, words
 from tidemark.llm.encoder import slices
+from tidemark.llm.text import rows_without
 from tidemark.session import materialize
 
 WINDOW = 13
@@ -260,8 +261,11 @@ def is_contaminated(share: int = 20) -> Column:
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """Rows of ``docs`` that are not contaminated, with its columns."""
+    """Rows of ``docs`` that are not contaminated, with its columns, whatever their names.
+
+    A NULL or empty text stays; repeated rows stay or go together, and so do rows with a NULL id and
+    equal texts; no rows or no items: nothing goes.
+    """
     found = contamination(docs, benchmark, id, text, **how).where(is_contaminated())
-    bad = materialize(found.select(F.col(id).alias("_id"), F.col("text_hash").alias("_hash")).distinct())
-    on = F.col(id).eqNullSafe(F.col("_id")) & F.xxhash64(F.col(text)).eqNullSafe(F.col("_hash"))
-    return docs.join(bad, on, "left_anti")
+    bad = materialize(found.select(F.col(id).alias("id"), "text_hash").distinct())
+    return rows_without(docs, [F.col(id), F.xxhash64(F.col(text))], bad)

@@ -40,6 +40,7 @@ from tidemark.llm.components import components
 from tidemark.llm.encoder import slices
 from tidemark.llm.text import row_count
 from tidemark.llm.url_filter import BITS_PER_ENTRY, MAX_BLOCKS, _bits, _block, bloom_blocks
+from tidemark.llm.text import rows_without
 from tidemark.session import materialize
 
 # Members of a run whose pairs are verified without looking at whole-set sketches first.
@@ -410,7 +411,11 @@ def ngram_jaccard_join(
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """Rows of ``docs`` that stay when one document of each component does (the one that names it)."""
+    """Rows of ``docs`` that stay when one document of each component does (the one that names it).
+
+    The columns of ``docs`` may have any names.  Rows without text, without words or with a NULL id
+    stay; repeated rows of an id stay or go together.
+    """
     joined = ngram_jaccard_join(docs, id, text, **how)
-    gone = joined.where(F.col(id) != F.col("component_id")).select(F.col(id).alias("_gone")).distinct()
-    return docs.join(materialize(gone), F.col(id) == F.col("_gone"), "left_anti")
+    gone = joined.where(F.col(id) != F.col("component_id")).select(F.col(id).alias("id")).distinct()
+    return rows_without(docs, [F.col(id)], materialize(gone))

@@ -265,7 +265,10 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text")
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float, text: str = "text") -> DataFrame:
-    """Rows of ``docs`` with at least this score."""
+    """Rows of ``docs`` with at least this score, with its columns, whatever their names.
+
+    A NULL text is scored as an empty one; repeated rows stay or go together; no rows, no rows.
+    """
     # Plain arrays: workers need no class of this package to read them.
     shared = docs.sparkSession.sparkContext.broadcast((model.mean, model.scale, model.weights))
 

@@ -37,3 +37,17 @@ def code_point_key(value: Column) -> Column:
 
 def row_count(df: DataFrame) -> int:
     return df.agg(F.count(F.lit(1))).first()[0]
+
+
+def rows_without(docs: DataFrame, keys: list[Column], listed: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose ``keys`` are no row of ``listed``; NULL equals NULL.
+
+    Each row travels as one struct, so its columns may have any names.
+    """
+    left = docs.select(F.struct(*docs.columns).alias("row"), *[k.alias(f"k{i}") for i, k in enumerate(keys)])
+    right = listed.toDF(*[f"l{i}" for i in range(len(keys))])
+    on = F.lit(True)
+    for i in range(len(keys)):
+        on = on & F.col(f"k{i}").eqNullSafe(F.col(f"l{i}"))
+    kept = left.join(right, on, "left_anti")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

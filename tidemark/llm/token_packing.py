@@ -184,15 +184,25 @@ def read_ids(spark: SparkSession, path: str, start: int, n: int) -> np.ndarray:
     """The ``n`` ids from position ``start`` on, opening only the blocks that cover them."""
     blocks = spark.read.parquet(path)
     at = F.col("first") + F.col("base")
+    # Places only: about n / block size rows are listed.
     cover = (
-        blocks.drop("ids", "ends")
+        blocks.select("shard", "block", "first", "n_ids")
         .join(shard_bases(blocks), F.col("shard") == F.col("_shard"))
         .where((at < start + n) & (at + F.col("n_ids") > start))
-        .select(at.alias("at"), "n_ids", "width", "payload")
-        .orderBy("at")
+        .select("shard", "block", at.alias("at"))
     )
+    places = {(r["shard"], r["block"]): r["at"] for r in cover.collect()}
+    shards: dict[int, list[int]] = {}
+    for shard, block in places:
+        shards.setdefault(shard, []).append(block)
+    # Literal bounds, which the reader compares with the statistics of row groups.
+    wanted = F.lit(False)
+    for shard, own in shards.items():
+        wanted = wanted | ((F.col("shard") == shard) & F.col("block").between(min(own), max(own)))
+    found = blocks.where(wanted).select("shard", "block", "n_ids", "width", "payload").collect()
     out = [np.zeros(0, np.uint32)]
-    for row in cover.toLocalIterator():
-        low, high = max(start, row["at"]), min(start + n, row["at"] + row["n_ids"])
-        out.append(unpack(row["payload"], row["width"], high - low, low - row["at"]))
+    for row in sorted(found, key=lambda r: places[r["shard"], r["block"]]):
+        begin = places[row["shard"], row["block"]]
+        low, high = max(start, begin), min(start + n, begin + row["n_ids"])
+        out.append(unpack(row["payload"], row["width"], high - low, low - begin))
     return np.concatenate(out)
