@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from queries.book import ABT_DATES, CUSTOMER_SPEC, SUPPLIER_DATE, SUPPLIER_SPEC
+from queries.book import ABT_DATES, CUSTOMER_SPEC, SUPPLIER_DATE, SUPPLIER_DATES, SUPPLIER_SPEC
 from queries.registry import ORACLES, query
 from tidemark.operators.encode import apply_saved_one_hot, one_hot_and_save
-from tidemark.plans.jobs import abt_job, book_job
+from tidemark.plans.book import build_book
+from tidemark.plans.jobs import abt_job, book_increment_job, book_job, store_tables
 from tidemark.session import shared_path
 from tidemark.sources.fixtures import book_tables, table
 from tidemark.sources.loading import append_table, load_table
@@ -51,6 +52,24 @@ def _(spark, sf_dir):
     return book_job(book_tables(spark, sf_dir), [SUPPLIER_DATE], path, SUPPLIER_SPEC)
 
 
+@query("book_copartitioned", ORACLES["book_multi_vintage"])
+def _(spark, sf_dir):
+    """Twelve vintages over orders, items and reviews in buckets of the order id."""
+    path = shared_path(spark)
+    tables = store_tables(book_tables(spark, sf_dir), path, SUPPLIER_SPEC, 16, f"book_{path[-8:]}")
+    return build_book(tables, SUPPLIER_DATES, SUPPLIER_SPEC)
+
+
+@query("book_increments", ORACLES["book_multi_vintage"])
+def _(spark, sf_dir):
+    """The same vintages, four runs of three that carry the first sales from one to the next."""
+    path, state, files = (shared_path(spark) for _ in range(3))
+    tables = store_tables(book_tables(spark, sf_dir), files, SUPPLIER_SPEC, 16, f"book_{files[-8:]}")
+    for i in range(0, len(SUPPLIER_DATES), 3):
+        book = book_increment_job(tables, SUPPLIER_DATES[i : i + 3], path, state, SUPPLIER_SPEC)
+    return book
+
+
 @query("abt_stored", ORACLES["abt_customer"])
 def _(spark, sf_dir):
     """The base table from a stored book."""

@@ -1,5 +1,6 @@
 """Hand-made cases of the feature book, the label and the vintage tables."""
 
+import re
 from datetime import date, datetime
 
 import pytest
@@ -7,11 +8,12 @@ from pyspark.sql import functions as F
 
 from queries import book, load_all
 from queries.registry import QUERIES
-from tidemark.plans.book import BookTables, build_book
-from tidemark.plans.jobs import abt_job, book_job
+from tidemark.plans.book import BookTables, build_book, first_sales
+from tidemark.plans.jobs import abt_job, book_increment_job, book_job, store_tables
 from tidemark.plans.label import build_abt, label_inactivity, monthly_activity
 from tidemark.plans.spec import BookSpec, month_starts, shift_months
-from tidemark.sources.fixtures import SUPPLIER_SPEC, book_tables
+from tidemark.session import materialize, shared_path
+from tidemark.sources.fixtures import CUSTOMER_SPEC, SUPPLIER_SPEC, book_tables
 from tidemark.sources.tables import latest_vintage, read_vintages, write_vintages
 
 D = date(2018, 1, 1)
@@ -246,3 +248,56 @@ def test_queries_of_all_metrics_leave_none_out(spark):
     assert len(metrics) == 50  # 48 and two places
     assert {r["Variavel"] for r in QUERIES["iv_table_abt_all"](spark, SF).collect()} == metrics
     assert set(QUERIES["book_preaggregated_all"](spark, SF).columns) == metrics | {"dt_ref", "seller_id"}
+
+
+def _stored(spark, entity, spec):
+    path = shared_path(spark)
+    return store_tables(book_tables(spark, SF, entity), path, spec, 4, f"book_{path[-8:]}")
+
+
+@pytest.mark.parametrize("entity, spec", [("supplier", SUPPLIER_SPEC), ("customer", CUSTOMER_SPEC)])
+def test_increments_equal_the_full_build(spark, entity, spec):
+    tables = _stored(spark, entity, spec)
+    # A gap longer than the window, a day inside a month, and a run that comes twice.
+    runs = [[date(1996, 3, 1)], [date(1996, 4, 15), date(1996, 5, 1)], [date(1997, 6, 1)], [date(1997, 6, 1)], [date(1997, 7, 1)]]
+    path, state = shared_path(spark), shared_path(spark)
+    for dates in runs:
+        got = book_increment_job(tables, dates, path, state, spec)
+    days = sorted({d for r in runs for d in r})
+    full = build_book(book_tables(spark, SF, entity), days, spec).select(*got.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, full.collect()))
+    kept = {r.through for r in spark.read.parquet(state).select("through").distinct().collect()}
+    assert kept == {r[-1] for r in runs}
+
+
+def test_increment_reads_only_recent_orders(spark):
+    tables = _stored(spark, "supplier", SUPPLIER_SPEC)
+    known = materialize(first_sales(tables, SUPPLIER_SPEC, date(1998, 1, 1)))
+    with pytest.raises(ValueError):
+        build_book(tables, [date(1998, 1, 1)], SUPPLIER_SPEC, first_sales=known, since=date(1997, 7, 2))
+    book = build_book(tables, [date(1998, 1, 1)], SUPPLIER_SPEC, first_sales=known, since=date(1997, 7, 1))
+    scans = [line for line in _plan(book).splitlines() if "PushedFilters" in line and "Bucketed: true" in line]
+    # Two reads each of orders, items and reviews, all from the day on.
+    assert len(scans) == 6
+    assert all("GreaterThanOrEqual(order_approved_at,1997" in s for s in scans)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_tables_meet_without_a_shuffle(spark):
+    tables = _stored(spark, "supplier", SUPPLIER_SPEC)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = _plan(build_book(tables, [date(1998, 1, 1)], SUPPLIER_SPEC, null_entity=True))
+        plain = _plan(build_book(book_tables(spark, SF), [date(1998, 1, 1)], SUPPLIER_SPEC, null_entity=True))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+    def by_order(plan):
+        return [x for x in plan.splitlines() if re.search(r"Exchange hashpartitioning\((order_id|l_orderkey|o_orderkey|_groupingexpression)#\d+L?, \d+\)", x)]
+
+    assert by_order(plain) and not by_order(stored)
+    assert "Bucketed: true" in stored or "SelectedBucketsCount" in stored

@@ -136,16 +136,26 @@ def build_book(
     spec: BookSpec = BookSpec(),
     fanout: str = "reference",
     null_entity: bool = True,
+    first_sales: DataFrame | None = None,
+    since: date | None = None,
 ) -> DataFrame:
     """Feature book at grain (entity, dt_ref).
 
     ``fanout="reference"`` keeps the weights that joining items and reviews per order gives;
     ``"preaggregate"`` counts every item, order and review once.  Orders without items, or items
     without an entity, form one group with a NULL entity unless ``null_entity`` is off.
+
+    Beyond the windows only an entity's first sale matters.  With ``first_sales`` (entity, first_at),
+    which cover all orders before some day, orders before ``since`` are not read; it must lie neither
+    after that day nor after the start of any window.
     """
     if fanout not in ("reference", "preaggregate"):
         raise ValueError(f"unknown fanout {fanout!r}")
     line = Timeline.of(dates, spec.window_months)
+    if since is not None:
+        if since > line.cuts[0]:
+            raise ValueError(f"orders from {line.cuts[0]} on are needed, not from {since}")
+        tables = recent(tables, since, spec)
     if not null_entity:
         kept = f"{spec.entity} IS NOT NULL"
         if spec.entity_on == "orders":
@@ -156,10 +166,34 @@ def build_book(
     parts = _item_facts(tables, orders, line, spec, fanout)
     if null_entity or spec.entity_on == "orders":
         parts = parts.unionByName(_itemless_facts(tables, line, spec), allowMissingColumns=True)
-    metrics = _per_vintage(parts, line, spec)
+    metrics = _per_vintage(parts, line, spec, first_sales)
     return _with_geo(metrics, tables.geo, spec)
 
 
+def recent(tables: BookTables, since: date, spec: BookSpec) -> BookTables:
+    """Only orders approved from ``since`` on; items and reviews too where they carry that time."""
+
+    def cut(df: DataFrame) -> DataFrame:
+        return df.where(f"{spec.approved} >= DATE'{since.isoformat()}'") if spec.approved in df.columns else df
+
+    return replace(tables, orders=cut(tables.orders), items=cut(tables.items), reviews=cut(tables.reviews))
+
+
+def first_sales(tables: BookTables, spec: BookSpec, before: date, since: date | None = None) -> DataFrame:
+    """(entity, first_at): first delivered order of every entity, of those before the day and from ``since`` on."""
+    if since is not None:
+        tables = recent(tables, since, spec)
+    delivered = f"{spec.status} = '{spec.status_value}' AND {spec.approved} < DATE'{before.isoformat()}'"
+    sold = tables.orders.where(delivered).selectExpr(
+        f"{spec.order_id} AS order_id",
+        *([f"{spec.entity} AS entity"] if spec.entity_on == "orders" else []),
+        f"CAST({spec.approved} AS timestamp) AS approved",
+    )
+    if spec.entity_on != "orders":
+        sold = tables.items.selectExpr(f"{spec.order_id} AS order_id", f"{spec.entity} AS entity").join(sold, "order_id")
+    return sold.where("entity IS NOT NULL").groupBy("entity").agg(F.min("approved").alias("first_at"))
+
+
 def _order_facts(tables: BookTables, line: Timeline, spec: BookSpec) -> DataFrame:
     """Delivered orders before the last reference date with their review sums."""
     entity = [f"{spec.entity} AS entity"] if spec.entity_on == "orders" else []
@@ -342,7 +376,7 @@ def _per_segment(parts: DataFrame, line: Timeline, categories: int) -> DataFrame
     )
 
 
-def _per_vintage(parts: DataFrame, line: Timeline, spec: BookSpec) -> DataFrame:
+def _per_vintage(parts: DataFrame, line: Timeline, spec: BookSpec, known: DataFrame | None = None) -> DataFrame:
     """Expand segment sums to reference dates and finish the metrics.
 
     The segment sums are placed by entity once; grouping by date and the first sale over the
@@ -368,6 +402,9 @@ def _per_vintage(parts: DataFrame, line: Timeline, spec: BookSpec) -> DataFrame:
         """,
         placed=_per_segment(parts, line, len(spec.categories)).repartition("entity"),
     )
+    if known is not None:
+        earlier = known.selectExpr("entity", "first_at AS known_at")
+        total = total.join(earlier, "entity", "left").withColumn("first_at", F.least("first_at", "known_at"))
     named_terms = total.where("dt_ref IS NOT NULL").selectExpr("*", *_terms(spec))
     return named_terms.selectExpr("dt_ref", f"entity AS {spec.entity}", *_metrics(spec))
 

@@ -46,7 +46,7 @@ def next_version(spark: SparkSession, registry: str) -> int:
 
 def latest_version(spark: SparkSession, registry: str, where: Column | None = None) -> int | None:
     """Newest version in the registry table, None while there is none."""
-    if not _exists(spark, registry):
+    if not path_exists(spark, registry):
         return None
     listed = spark.read.parquet(registry)
     if where is not None:
@@ -76,6 +76,19 @@ def log_metrics(metrics: DataFrame, path: str, run_id: str, split_col: str = "sp
     ).parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int, sort: list[str] | None = None) -> DataFrame:
+    """Write a catalog table cut into ``buckets`` by the hash of ``key``, one file each, and read it back.
+
+    Tables cut in the same way are joined and grouped on the key without a shuffle.  ``sort`` orders
+    the rows of a file, so that its row groups can be skipped by the first of these columns.
+    """
+    order = sort or [key]
+    placed = df.repartition(buckets, key).sortWithinPartitions(*order)
+    writer = placed.write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, key)
+    writer.sortBy(*order).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
