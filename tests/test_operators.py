@@ -78,6 +78,27 @@ def test_running_totals_match_a_plain_window(skewed, pdf, rows):
     assert set(got["tot_n"]) == set(clean.groupby("g").size())
 
 
+@pytest.mark.parametrize("descending", [True, False])
+@pytest.mark.parametrize("kind", ["double", "long", "string"])
+def test_running_totals_in_more_ranges_than_one_level_holds(spark, descending, kind):
+    n = 5000
+    df = spark.range(n).selectExpr("id", "id % 3 AS g").unionByName(spark.range(900).selectExpr("17L AS id", "0L AS g"))
+    value = {"double": F.exp(F.col("id") / 300), "long": F.col("id") - 2500, "string": F.format_string("w%05d", "id")}[kind]
+    df = df.withColumn("v", value)
+    edges, ranges, distinct = ordered.range_edges(df, "v", 2)
+    assert ranges > ordered.MAX_RANGES and len(edges) < ordered.MAX_RANGES <= distinct
+    inner = ordered._inner_edges(df, "v", edges, ranges, distinct).collect()
+    assert len(edges) + 1 + sum(len(r["inner"]) for r in inner) > ordered.MAX_RANGES * 1.2
+    got = ordered.running_totals(df, "v", {"n": F.count(F.lit(1))}, ["g"], descending, range_rows=2)
+    rows = df.toPandas().groupby(["g", "v"]).size().rename("n").reset_index()
+    rows = rows.sort_values("v", ascending=not descending)
+    rows["cum"] = rows.groupby("g")["n"].cumsum()
+    want = {(r.g, r.v): (r.n, r.cum) for r in rows.itertuples()}
+    assert {(r["g"], r["v"]): (r["n"], r["cum_n"]) for r in got.collect()} == want
+    totals = {r["g"]: r["tot_n"] for r in got.collect()}
+    assert totals == rows.groupby("g")["n"].sum().to_dict()
+
+
 def test_running_totals_over_texts(spark):
     words = [f"w{i:04d}" for i in range(500)] + ["w0001"] * 200
     df = spark.createDataFrame([(w,) for w in words], "w string")
