@@ -391,3 +391,40 @@ def test_strict_least_and_rounding(spark):
         F.round(F.lit(0.125), 2), F.bround(F.lit(0.125), 2), scalars.ratio(F.lit(1), F.lit(0)), scalars.whole_ratio(F.lit(7), F.lit(2))
     ).first()
     assert tuple(r) == (0.13, 0.12, None, 3)
+
+
+@pytest.mark.parametrize("tile, parts", [(1024, 7), (3, 2), (1024, 1)])
+def test_correlations_in_one_pass_equal_pairwise_ones(spark, monkeypatch, tile, parts):
+    from tidemark.operators import comoments
+
+    monkeypatch.setattr(comoments, "TILE", tile)
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(3000, 3))
+    values = np.column_stack(
+        [base[:, 0], base[:, 0] + base[:, 1], 1e9 + base[:, 1], np.full(3000, 0.1), base[:, 2] * 1e-6, base @ [1.0, 2.0, 3.0], np.full(3000, np.nan)]
+    )
+    values[rng.random(values.shape) < 0.3] = np.nan
+    # Varies only where the first column is missing.
+    values[:, 4] = np.where(np.isnan(values[:, 0]), values[:, 4], 0.7)
+    names = [f"c{i}" for i in range(values.shape[1])]
+    rows = [[None if np.isnan(v) and i % 2 else float(v) for i, v in enumerate(r)] for r in values]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).repartition(parts)
+    got = np.array(selection.correlations(df, names))
+    want = pd.DataFrame(values, columns=names).corr().to_numpy().copy()
+    np.fill_diagonal(want, 1.0)
+    want[0, 4] = want[4, 0] = np.nan
+    want[3] = want[:, 3] = np.where(np.arange(7) == 3, 1.0, np.nan)
+    assert np.allclose(got, want, rtol=0, atol=1e-7, equal_nan=True)
+    assert selection.correlations(df.limit(0), names[:2])[0][0] == 1.0
+
+
+def test_correlations_scan_once(spark, monkeypatch):
+    from tidemark.operators import comoments
+
+    plans = []
+    frame = type(spark.range(1))
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: (plans.append(self), collect(self))[1])
+    df = spark.range(40).select(*[(F.col("id") * (i + 1) % 7).alias(f"c{i}") for i in range(60)])
+    assert len(comoments.correlation_matrix(df, [F.col(c) for c in df.columns])) == 60
+    assert len(plans) == 1

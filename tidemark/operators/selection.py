@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.functions.scalars import nan_to_null
+from tidemark.operators.comoments import correlation_matrix
 from tidemark.operators.encode import apply_target_encoding, fit_target_encoding
 from tidemark.operators.impute import fit_imputer
 from tidemark.operators.profile import metadata_short
 
-# Correlations taken in one pass; more of them need more passes over the frame.
-PAIRS_AT_ONCE = 500
-
-
 def variances(df: DataFrame, columns: list[str]) -> dict[str, float]:
     """Sample variance of each column, all in one pass."""
     row = df.agg(*[F.var_samp(F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(columns)]).first()
@@ -35,21 +31,7 @@ def correlations(df: DataFrame, columns: list[str]) -> list[list[float]]:
     NaN where either is constant.  Only columns x columns numbers reach the driver.
     """
     clean = [nan_to_null(F.col(c).cast("double"), T.DoubleType()) for c in columns]
-    pairs = [(i, j) for j in range(len(columns)) for i in range(j)]
-    matrix = [[1.0 if i == j else math.nan for j in range(len(columns))] for i in range(len(columns))]
-    for at in range(0, len(pairs), PAIRS_AT_ONCE):
-        part = pairs[at : at + PAIRS_AT_ONCE]
-        row = df.agg(*[_pearson(clean[i], clean[j]).alias(f"r{k}") for k, (i, j) in enumerate(part)]).first()
-        for k, (i, j) in enumerate(part):
-            if row[f"r{k}"] is not None:
-                matrix[i][j] = matrix[j][i] = row[f"r{k}"]
-    return matrix
-
-
-def _pearson(x: Column, y: Column) -> Column:
-    """Correlation of the complete rows, NULL where a side does not vary."""
-    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-    return F.when((F.min(x) < F.max(x)) & (F.min(y) < F.max(y)), F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y)))
+    return correlation_matrix(df, clean).tolist()
 
 
 def correlated_pairs(df: DataFrame, columns: list[str], threshold: float = 0.5) -> DataFrame:
