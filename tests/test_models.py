@@ -205,6 +205,28 @@ def test_train_register_score(spark, abt):
     assert scoring.score_latest(small, scoring.load_scorer(spark, root), KEY).count() > 0
 
 
+def test_versions_are_given_out_once(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    registry = shared_path(spark)
+    with ThreadPoolExecutor(8) as pool:
+        got = list(pool.map(lambda _: tables.claim_version(spark, registry), range(8)))
+    assert sorted(got) == list(range(1, 9))
+    tables.register_version(spark, registry, 8, "m")
+    assert tables.claim_version(spark, registry) == 9 and spark.read.parquet(registry).count() == 1
+
+
+def test_scoring_run_may_be_repeated(spark):
+    path = shared_path(spark)
+    scores = spark.createDataFrame([("a", date(2018, 6, 1), 0.5), ("b", date(2018, 6, 1), 0.25)], "k string, dt_ref date, SCORE double")
+    for _ in range(2):
+        tables.append_scores(scores, path, run="july")
+    assert spark.read.parquet(path).count() == 2
+    tables.append_scores(scores, path, run="august")
+    tables.append_scores(scores, path)
+    assert spark.read.parquet(path).count() == 6
+
+
 def test_raw_files_load_first_of_each_key(spark, tmp_path):
     text = (
         "review_id,order_id,review_score,review_comment_title,review_comment_message,"

@@ -428,3 +428,30 @@ def test_correlations_scan_once(spark, monkeypatch):
     df = spark.range(40).select(*[(F.col("id") * (i + 1) % 7).alias(f"c{i}") for i in range(60)])
     assert len(comoments.correlation_matrix(df, [F.col(c) for c in df.columns])) == 60
     assert len(plans) == 1
+
+
+def test_box_stats_of_many_classes(spark):
+    df = spark.range(60_000).select((F.col("id") % 10_000).alias("k"), ((F.col("id") * 7919) % 601).cast("double").alias("v"))
+    hot = spark.range(30_000).select(F.lit(3).cast("long").alias("k"), (F.col("id") % 5000).cast("double").alias("v"))
+    got = describe.box_stats(df.unionByName(hot).repartition(6), ["v"], "k", small_distinct=500).toPandas().set_index("class")
+    plain = df.unionByName(hot).toPandas()
+    assert len(got) == 10_000
+    for k in (0, 3, 9_999, 4_711):
+        v = plain[plain.k == k]["v"].to_numpy()
+        q1, q2, q3 = np.quantile(v, [0.25, 0.5, 0.75])
+        inside = v[(v >= q1 - 1.5 * (q3 - q1)) & (v <= q3 + 1.5 * (q3 - q1))]
+        row = got.loc[k]
+        assert (row.q1, row["median"], row.q3) == pytest.approx((q1, q2, q3))
+        assert (row.whisker_lo, row.whisker_hi, row.outliers) == (inside.min(), inside.max(), len(v) - len(inside))
+
+
+@pytest.mark.parametrize("n", [0, 1, 70, 3000, 3080, 5000])
+def test_sample_has_the_smallest_hashes(spark, monkeypatch, n):
+    import hashlib
+
+    monkeypatch.setattr(profile, "_FEW", 1)
+    rows = [(i, f"p{i}") for i in range(3000)] + [(7, f"twin{i}") for i in range(40)] + [(None, f"none{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, payload string").repartition(5)
+    got = [tuple(r) for r in profile.sample_rows(df, ["id"], n).collect()]
+    order = sorted(rows, key=lambda r: (hashlib.md5(f"42|{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[1]))
+    assert sorted(got, key=str) == sorted(order[:n], key=str)

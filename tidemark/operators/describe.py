@@ -7,13 +7,12 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.operators.binning import numeric_columns
+from tidemark.operators.ordered import running_totals
 from tidemark.operators.profile import low_cardinality_features
-from tidemark.operators.quantiles import exact_quantiles
+from tidemark.session import materialize
 
 # Bandwidths beyond which a Gaussian kernel is zero in double precision.
 REACH = 39.0
-# Classes whose quantiles are taken in one pass.
-CLASSES_AT_ONCE = 50
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -104,48 +103,52 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 30, by: str | None
     return out if by is not None else out.drop("class")
 
 
-def box_stats(df: DataFrame, columns: list[str], by: str | None = None, **quantile_options) -> DataFrame:
+def box_stats(df: DataFrame, columns: list[str], by: str | None = None, small_distinct: int | None = None) -> DataFrame:
     """(variable, [class], q1, median, q3, whisker_lo, whisker_hi, outliers).
 
-    Whiskers reach the outermost values within 1.5 interquartile ranges of the box.
+    Whiskers reach the outermost values within 1.5 interquartile ranges of the box.  Values are
+    counted first; quartiles are the values at their ranks in running counts per variable and class,
+    cut into ranges of about ``small_distinct`` values, so the classes are data in any number.
     """
-    parts = [_box_stats(df, columns, by, groups, **quantile_options) for groups in _class_parts(df, by)]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    counted = running_totals(
+        _tall(df, columns, by), "v", {"m": F.count(F.lit(1))}, ["variable", "class"], False, small_distinct
+    )
+    counted = materialize(counted.select("variable", "class", "v", "m", "cum_m", "tot_m"))
+    groups = counted.groupBy("variable", "class").agg(
+        *[_at_rank(share, up).alias(f"{name}_{up}") for name, share in _QUARTILES.items() for up in (0, 1)],
+        F.max("tot_m").alias("n"),
+    )
+    quartiles = {
+        name: F.col(f"{name}_0") + (F.col(f"{name}_1") - F.col(f"{name}_0")) * _rest(F.col("n"), share)
+        for name, share in _QUARTILES.items()
+    }
+    boxes = materialize(groups.select("variable", "class", *[q.alias(name) for name, q in quartiles.items()]))
+    reach = 1.5 * (F.col("q3") - F.col("q1"))
+    inside = (F.col("v") >= F.col("q1") - reach) & (F.col("v") <= F.col("q3") + reach)
+    out = (
+        _matched(counted, boxes)
+        .groupBy("variable", "class", *_QUARTILES)
+        .agg(
+            F.min(F.when(inside, F.col("v"))).alias("whisker_lo"),
+            F.max(F.when(inside, F.col("v"))).alias("whisker_hi"),
+            F.sum(F.when(inside, F.lit(0)).otherwise(F.col("m"))).alias("outliers"),
+        )
+    )
     return out if by is not None else out.drop("class")
 
 
-def _box_stats(df: DataFrame, columns: list[str], by: str | None, groups: list, **quantile_options) -> DataFrame:
-    cells = {
-        (c, g): _clean(F.col(c)) if by is None else F.when(F.col(by) == F.lit(g), _clean(F.col(c)))
-        for c in columns
-        for g in groups
-    }
-    keys = list(cells)
-    found = exact_quantiles(df, {str(i): cells[k] for i, k in enumerate(keys)}, [0.25, 0.5, 0.75], **quantile_options)
-    asked, boxes = [], {}
-    for i, k in enumerate(keys):
-        q = found[str(i)]
-        if q is None:
-            continue
-        reach, x = 1.5 * (q[2] - q[0]), cells[k]
-        inside = (x >= F.lit(q[0] - reach)) & (x <= F.lit(q[2] + reach))
-        boxes[i] = q
-        asked += [
-            F.min(F.when(inside, x)).alias(f"l{i}"),
-            F.max(F.when(inside, x)).alias(f"h{i}"),
-            F.count_if(~inside).alias(f"o{i}"),
-        ]
-    row = df.agg(*asked).first() if asked else None
-    rows = [(keys[i][0], keys[i][1], *q, row[f"l{i}"], row[f"h{i}"], row[f"o{i}"]) for i, q in boxes.items()]
-    kind = df.schema[by].dataType.simpleString() if by else "string"
-    out = df.sparkSession.createDataFrame(
-        rows,
-        f"variable string, class {kind}, q1 double, median double, q3 double,"
-        " whisker_lo double, whisker_hi double, outliers bigint",
-    )
-    return out
+_QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
+
+def _rest(n: Column, share: float) -> Column:
+    """How far the quantile lies between the values of the two ranks around it."""
+    return share * (n - 1) - F.floor(share * (n - 1))
+
+
+def _at_rank(share: float, up: int) -> Column:
+    """The value that holds the rank below (0) or above (1) a quantile, ranks counted from 0."""
+    at = F.least(F.floor(share * (F.col("tot_m") - 1)) + up, F.col("tot_m") - 1)
+    return F.max(F.when((at >= F.col("cum_m") - F.col("m")) & (at < F.col("cum_m")), F.col("v")))
 
 
 def kernel_density(
@@ -207,14 +210,6 @@ def _matched(values: DataFrame, setup: DataFrame) -> DataFrame:
     return values.join(right, on).drop("_variable", "_class")
 
 
-def _class_parts(df: DataFrame, by: str | None) -> list[list]:
-    """Values of the class column, ``CLASSES_AT_ONCE`` at a time."""
-    if by is None:
-        return [[None]]
-    found = sorted(r[0] for r in df.select(by).where(F.col(by).isNotNull()).distinct().collect())
-    return [found[i : i + CLASSES_AT_ONCE] for i in range(0, len(found), CLASSES_AT_ONCE)] or [[]]
-
-
 def _clean(col: Column) -> Column:
     x = col.cast("double")
     return F.when(~F.isnan(x), x)

@@ -20,10 +20,10 @@ from tidemark.plans.modeling import (
 )
 from tidemark.sources.tables import (
     append_scores,
+    claim_version,
     latest_version,
     latest_vintage,
     log_metrics,
-    next_version,
     register_version,
 )
 from tidemark.session import materialize
@@ -53,7 +53,7 @@ def train_and_register(
     chosen = forest_importance(ready, prep.names(), target, **(importance_params or {})).where("Selected").collect()
     selected = [r["Feature"] for r in chosen]
     model = fit_boosting(ready, selected, target, params)
-    version = next_version(spark, f"{root}/models")
+    version = claim_version(spark, f"{root}/models")
     path = f"{root}/model_v{version}"
     prep.save(spark, f"{path}/prep")
     spark.createDataFrame(list(enumerate(selected)), "position int, feature string").coalesce(1).write.mode(
@@ -98,9 +98,14 @@ def score_latest(
     return scored.select(*key, "SCORE", day.alias("DATA_SCORE")).orderBy(F.col("SCORE").desc(), *key)
 
 
-def score_job(abt: DataFrame, root: str, key: list[str], scored_on: date | None = None) -> DataFrame:
-    """Score the newest vintage with the newest model and append to the score table."""
+def score_job(
+    abt: DataFrame, root: str, key: list[str], scored_on: date | None = None, run: str | None = None
+) -> DataFrame:
+    """Score the newest vintage with the newest model and append to the score table.
+
+    Under a ``run`` name the job may be repeated without adding rows.
+    """
     spark = abt.sparkSession
     scores = score_latest(abt, load_scorer(spark, root), key, scored_on)
-    append_scores(scores, f"{root}/tb_scoring")
+    append_scores(scores, f"{root}/tb_scoring", run=run)
     return spark.read.parquet(f"{root}/tb_scoring")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -35,8 +38,15 @@ def latest_vintage(df: DataFrame, date_col: str = "dt_ref") -> DataFrame:
     return df.where(F.col(date_col) == newest)
 
 
-def append_scores(df: DataFrame, path: str, date_col: str = "dt_ref") -> None:
-    write_vintages(df, path, date_col, mode="append")
+def append_scores(df: DataFrame, path: str, date_col: str = "dt_ref", run: str | None = None) -> None:
+    """Add the scores of a run; a run that is repeated under the same name replaces its rows.
+
+    The writer stages the files and moves them when all are complete, so a run that fails leaves
+    nothing behind.
+    """
+    named = df.withColumn("run", F.lit(run or uuid.uuid4().hex))
+    writer = named.write.partitionBy(date_col, "run").mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
 
 
 def next_version(spark: SparkSession, registry: str) -> int:
@@ -44,6 +54,21 @@ def next_version(spark: SparkSession, registry: str) -> int:
     return (latest_version(spark, registry) or 0) + 1
 
 
+def claim_version(spark: SparkSession, registry: str) -> int:
+    """A version number that no other training gets: its file is created, or exists already."""
+    version = next_version(spark, registry)
+    while True:
+        claim = spark._jvm.org.apache.hadoop.fs.Path(f"{registry}_claims/v{version}")
+        files = claim.getFileSystem(spark._jsc.hadoopConfiguration())
+        try:
+            files.create(claim, False).close()
+            return version
+        except Py4JJavaError as error:
+            if not files.exists(claim):
+                raise error
+        version += 1
+
+
 def latest_version(spark: SparkSession, registry: str, where: Column | None = None) -> int | None:
     """Newest version in the registry table, None while there is none."""
     if not path_exists(spark, registry):
