@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from queries.book import ABT_DATES, CUSTOMER_SPEC, SUPPLIER_DATE, SUPPLIER_DATES, SUPPLIER_SPEC
 from queries.registry import ORACLES, query
-from tidemark.operators.encode import apply_saved_one_hot, one_hot_and_save
+from tidemark.operators.encode import apply_saved_levels, apply_saved_one_hot, one_hot_and_save, save_levels
 from tidemark.plans.book import build_book
 from tidemark.plans.jobs import abt_job, book_increment_job, book_job, store_tables
 from tidemark.session import shared_path
@@ -99,3 +99,36 @@ def _(spark, sf_dir):
         same.alias("same_brand"),
         sum((F.col(f"`{b}`").cast("int") for b in brands), F.lit(0)).alias("brands_set"),
     )
+
+
+@query(
+    "one_hot_sparse_saved",
+    """WITH k AS (SELECT *, CAST(l_orderkey AS VARCHAR) AS a, CAST(l_partkey AS VARCHAR) AS b FROM lineitem)
+       SELECT l_orderkey, l_partkey, l_linenumber,
+         CAST(dense_rank() OVER (ORDER BY a) - 1 AS INTEGER) AS order_place,
+         CAST(dense_rank() OVER (ORDER BY b) - 1 AS INTEGER) AS part_place,
+         CAST((SELECT count(DISTINCT a) FROM k) AS INTEGER) AS order_levels,
+         CAST((SELECT count(DISTINCT b) FROM k) AS INTEGER) AS part_levels FROM k""",
+)
+def _(spark, sf_dir):
+    """A saved level table with a level per order and per part, applied as sparse vectors."""
+    c, path = F.col, shared_path(spark)
+    rows = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_partkey",
+        "l_linenumber",
+        c("l_orderkey").cast("string").alias("a"),
+        c("l_partkey").cast("string").alias("b"),
+    )
+    save_levels(rows, ["a", "b"], path)
+    coded = apply_saved_levels(rows, ["a", "b"], path)
+    sparse = {name: F.unwrap_udt(c(name)) for name in ("a", "b")}
+    return coded.select(
+        "l_orderkey",
+        "l_partkey",
+        "l_linenumber",
+        F.get(sparse["a"]["indices"], F.lit(0)).alias("order_place"),
+        F.get(sparse["b"]["indices"], F.lit(0)).alias("part_place"),
+        sparse["a"]["size"].alias("order_levels"),
+        sparse["b"]["size"].alias("part_levels"),
+    )

@@ -25,6 +25,7 @@ from tidemark.operators import (
 from tidemark.operators.dedupe import keep_first, keep_last
 from tidemark.operators.quantiles import exact_quantiles, group_quantiles
 from tidemark.plans.modeling import assemble
+from tidemark.session import shared_path
 
 
 @pytest.fixture(scope="module")
@@ -455,3 +456,38 @@ def test_sample_has_the_smallest_hashes(spark, monkeypatch, n):
     got = [tuple(r) for r in profile.sample_rows(df, ["id"], n).collect()]
     order = sorted(rows, key=lambda r: (hashlib.md5(f"42|{'' if r[0] is None else r[0]}".encode()).hexdigest(), r[1]))
     assert sorted(got, key=str) == sorted(order[:n], key=str)
+
+
+def test_levels_by_the_hundred_thousand(spark):
+    df = spark.range(100_000).select("id", F.format_string("k%d", "id").alias("k"), F.when(F.col("id") % 2 == 0, "even").alias("half"))
+    path = shared_path(spark)
+    encode.save_levels(df, ["k", "half"], path)
+    new = spark.createDataFrame([(1, "k99999", None), (2, "unseen", "even"), (3, None, "odd"), (4, "k0", "even")], "id int, k string, half string")
+    got = {r["id"]: (r["k"], r["half"]) for r in encode.apply_saved_levels(new, ["k", "half"], path).collect()}
+    order = sorted(f"k{i}" for i in range(100_000))
+    assert {i: (v.size, v.indices.tolist()) for i, (v, _) in got.items()} == {
+        1: (100_000, [order.index("k99999")]), 2: (100_000, []), 3: (100_000, []), 4: (100_000, [0])
+    }
+    assert {i: h.toArray().tolist() for i, (_, h) in got.items()} == {1: [0.0], 2: [1.0], 3: [0.0], 4: [1.0]}
+
+
+def test_encodings_of_many_columns_take_no_more_jobs(spark):
+    df = spark.range(300).select(
+        (F.col("id") % 2).alias("y"), (F.col("id") % 5).alias("fold"), *[(F.col("id") % (i + 3)).cast("string").alias(f"c{i}") for i in range(9)]
+    )
+
+    def jobs(columns):
+        spark.sparkContext.setJobGroup(f"g{len(columns)}", "")
+        try:
+            found = encode.fit_target_encodings(df, columns, "y")
+            encode.out_of_fold_encodings(df, {c: f"o_{c}" for c in columns}, "y", "fold")
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return found, len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"g{len(columns)}"))
+
+    names = [f"c{i}" for i in range(9)]
+    (two, few), (nine, many) = jobs(names[:2]), jobs(names)
+    assert few == many
+    for c in names[:2]:
+        one = {r[0]: r[1] for r in encode.fit_target_encoding(df, c, "y")[0].collect()}
+        assert {r[0]: r[1] for r in nine[c][0].collect()} == pytest.approx(one) and two[c][1] == nine[c][1]

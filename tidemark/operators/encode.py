@@ -59,6 +59,20 @@ def one_hot_vectors(df: DataFrame, columns: list[str], levels: DataFrame) -> Dat
     return coded.select(*[F.col(named[c]).alias(c) if c in named else F.col(c) for c in df.columns])
 
 
+def save_levels(df: DataFrame, columns: list[str], path: str) -> DataFrame:
+    """Write the level table of the columns, in any number of levels, and read it back."""
+    level_table(df, columns).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def apply_saved_levels(df: DataFrame, columns: list[str], path: str) -> DataFrame:
+    """``one_hot_vectors`` with a saved level table; a column it needs and the frame lacks is an error."""
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"columns to encode are absent: {missing}")
+    return one_hot_vectors(df, columns, df.sparkSession.read.parquet(path))
+
+
 @dataclass(frozen=True)
 class OneHot:
     """0/1 column per known level, named ``column_level``; unknown values are all zero."""
@@ -150,25 +164,45 @@ def _sums(y: Column) -> list[Column]:
 
 def fit_target_encoding(df: DataFrame, column: str, target: str) -> tuple[DataFrame, float]:
     """Table (category, encoding) and the overall mean that unknown categories get."""
-    y = F.col(target)
-    rows = df.where(y.isNotNull())
-    whole = rows.agg(*_sums(y)).first()
+    return fit_target_encodings(df, [column], target)[column]
+
+
+def fit_target_encodings(df: DataFrame, columns: list[str], target: str) -> dict[str, tuple[DataFrame, float]]:
+    """Table (category, encoding) and overall mean of each column.
+
+    All columns are summed in one aggregation on (feature, category), which is stored; the tables
+    are slices of it.
+    """
+    if not columns:
+        return {}
+    cells = materialize(_tall_sums(df, columns, target, []))
+    first = cells.where(F.col("feature") == columns[0])
+    whole = first.agg(*[F.sum(k).alias(k) for k in "nsq"]).first()
+    if not whole["n"]:
+        # No target, no encoding.
+        return {c: (cells.where("false").select("category", F.lit(None).cast("double").alias("encoding")), None) for c in columns}
     mean = whole["s"] / whole["n"]
     variance = whole["q"] / whole["n"] - mean * mean
     n, s, q = (F.col(k) for k in ("n", "s", "q"))
-    table = (
-        rows.groupBy(F.col(column).alias("category"))
-        .agg(*_sums(y))
-        .select("category", _blend(n, s, q, F.lit(mean), F.lit(variance)).alias("encoding"))
+    blended = cells.select("feature", "category", _blend(n, s, q, F.lit(mean), F.lit(variance)).alias("encoding"))
+    return {c: (blended.where(F.col("feature") == c).select("category", "encoding"), mean) for c in columns}
+
+
+def _tall_sums(df: DataFrame, columns: list[str], target: str, by: list[str]) -> DataFrame:
+    """Sums of the target per (feature, category as text, by...) of all columns in one aggregation."""
+    y = F.col("_y")
+    rows = df.where(F.col(target).isNotNull()).select(
+        F.col(target).alias("_y"), *by, *[F.col(c).cast("string").alias(f"_c{i}") for i, c in enumerate(columns)]
     )
-    return table, mean
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"_c{i}").alias("category")) for i, c in enumerate(columns)])
+    return rows.select("_y", *by, F.inline(cells)).groupBy("feature", "category", *by).agg(*_sums(y))
 
 
 def apply_target_encoding(df: DataFrame, column: str, table: DataFrame, mean: float, out: str | None = None) -> DataFrame:
     """Join the encodings; unknown categories get the overall mean."""
     out = out or column
     lookup = table.select(F.col("category").alias("_category"), F.col("encoding").alias("_encoding"))
-    joined = df.join(lookup, F.col(column).eqNullSafe(F.col("_category")), "left")
+    joined = df.join(lookup, F.col(column).cast(lookup.schema["_category"].dataType).eqNullSafe(F.col("_category")), "left")
     coded = F.coalesce("_encoding", F.lit(mean))
     if out == column:
         return joined.select(*[coded.alias(c) if c == column else F.col(c) for c in df.columns])
@@ -176,22 +210,33 @@ def apply_target_encoding(df: DataFrame, column: str, table: DataFrame, mean: fl
 
 
 def out_of_fold_encoding(df: DataFrame, column: str, target: str, fold: str, out: str) -> DataFrame:
-    """Encode training rows by the statistics of the other folds only.
+    """Encode training rows by the statistics of the other folds only."""
+    return out_of_fold_encodings(df, {column: out}, target, fold)
 
-    Sums per (category, fold) and per fold are taken once; "the other folds" is the difference
-    to the total, so the training rows are scanned once whatever the number of folds.
+
+def out_of_fold_encodings(df: DataFrame, columns: dict[str, str], target: str, fold: str) -> DataFrame:
+    """Add for each column the encoding (named by the value) by the statistics of the other folds only.
+
+    Sums per (feature, category, fold) and per fold are taken once for all columns; "the other folds"
+    is the difference to the total, so the training rows are scanned once whatever the number of
+    folds and columns.
     """
-    y = F.col(target)
-    cells = df.where(y.isNotNull()).groupBy(F.col(column).alias("_c"), F.col(fold).alias("_f")).agg(*_sums(y))
-    per_category = cells.groupBy("_c").agg(*[F.sum(k).alias(f"c_{k}") for k in "nsq"])
-    per_fold = cells.groupBy("_f").agg(*[F.sum(k).alias(f"f_{k}") for k in "nsq"])
-    whole = per_fold.agg(*[F.sum(f"f_{k}").alias(k) for k in "nsq"]).first()
-    folds = [r["_f"] for r in per_fold.select("_f").collect()]
+    if not columns:
+        return df
+    cells = materialize(
+        _tall_sums(df.withColumn("_f", F.col(fold)), list(columns), target, ["_f"]).withColumnsRenamed(
+            {"feature": "_of", "category": "_c"}
+        )
+    )
+    per_category = cells.groupBy("_of", "_c").agg(*[F.sum(k).alias(f"c_{k}") for k in "nsq"])
+    per_fold = cells.where(F.col("_of") == next(iter(columns))).groupBy("_f").agg(*[F.sum(k).alias(f"f_{k}") for k in "nsq"])
+    sums = per_fold.collect()  # one row per fold
+    whole = {k: sum(r[f"f_{k}"] for r in sums) for k in "nsq"}
     # Every category in every fold, also where the fold holds none of its rows.
-    grid = per_category.select("*", F.explode(F.array(*[F.lit(f) for f in folds])).alias("_f"))
+    grid = per_category.select("*", F.explode(F.array(*[F.lit(r["_f"]) for r in sums])).alias("_f"))
     mine = grid.join(
-        cells.select(F.col("_c").alias("_c2"), F.col("_f").alias("_f2"), "n", "s", "q"),
-        F.col("_c").eqNullSafe(F.col("_c2")) & (F.col("_f") == F.col("_f2")),
+        cells.select(F.col("_of").alias("_of2"), F.col("_c").alias("_c2"), F.col("_f").alias("_f2"), "n", "s", "q"),
+        (F.col("_of") == F.col("_of2")) & F.col("_c").eqNullSafe(F.col("_c2")) & (F.col("_f") == F.col("_f2")),
         "left",
     ).join(F.broadcast(per_fold), "_f")  # one row per fold
     rest = {k: F.col(f"c_{k}") - F.coalesce(F.col(k), F.lit(0)) for k in "nsq"}
@@ -199,13 +244,18 @@ def out_of_fold_encoding(df: DataFrame, column: str, target: str, fold: str, out
     mean = other["s"] / other["n"]
     variance = other["q"] / other["n"] - mean * mean
     n = F.nullif(rest["n"], F.lit(0).cast("bigint"))
-    table = mine.select(
-        F.col("_c").alias("_of_category"),
-        F.col("_f").alias("_of_fold"),
-        F.coalesce(_blend(n, rest["s"], rest["q"], mean, variance), mean).alias("_of_code"),
+    code = F.coalesce(_blend(n, rest["s"], rest["q"], mean, variance), mean)
+    table = materialize(mine.select("_of", "_c", "_f", code.alias("_of_code"))) if len(columns) > 1 else mine.select(
+        "_of", "_c", "_f", code.alias("_of_code")
     )
-    on = F.col(column).eqNullSafe(F.col("_of_category")) & (F.col(fold) == F.col("_of_fold"))
-    return df.join(table, on, "left").select(*df.columns, F.col("_of_code").alias(out))
+    encoded = df
+    for column, out in columns.items():
+        own = table.where(F.col("_of") == column).select(
+            F.col("_c").alias("_of_category"), F.col("_f").alias("_of_fold"), "_of_code"
+        )
+        on = F.col(column).cast("string").eqNullSafe(F.col("_of_category")) & (F.col(fold) == F.col("_of_fold"))
+        encoded = encoded.join(own, on, "left").select(*encoded.columns, F.col("_of_code").alias(out))
+    return encoded
 
 
 @dataclass(frozen=True)

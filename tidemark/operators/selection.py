@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.functions.scalars import nan_to_null
 from tidemark.operators.comoments import correlation_matrix
-from tidemark.operators.encode import apply_target_encoding, fit_target_encoding
+from tidemark.operators.encode import apply_target_encoding, fit_target_encodings
 from tidemark.operators.impute import fit_imputer
 from tidemark.operators.profile import metadata_short
 
@@ -84,8 +84,7 @@ def screen_features(
     numbers = [c for c in usable if c not in texts]
     base = df.select(*keep, target, *numbers, *[F.col(c).cast("string").alias(c) for c in texts])
     filled = fit_imputer(base, "mean", numbers, texts).transform(base)
-    for c in texts:
-        table, mean = fit_target_encoding(filled, c, target)
+    for c, (table, mean) in fit_target_encodings(filled, texts, target).items():
         filled = apply_target_encoding(filled, c, table, mean)
     remaining, flat = numbers + texts, []
     if min_variance is not None:
