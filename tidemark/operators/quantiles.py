@@ -2,9 +2,10 @@
 
 ``percentile`` keeps one counter per distinct value in a single aggregation buffer, so it is
 used only where the number of distinct values has been checked to be small.  Any other column
-is narrowed down: a mergeable sketch brackets each wanted rank, one pass counts how many values
+is narrowed down: a mergeable KLL sketch brackets each wanted rank, one pass counts how many values
 lie below and inside the bracket, and the bracket shrinks until the values left inside fit the
-checked bound.  Each pass is one map-side-combined scan and nothing is shuffled by value.
+checked bound.  Each pass is one map-side-combined scan and nothing is shuffled by value.  The
+first sketches are taken in the pass that counts the columns, unless there are very many of them.
 """
 
 from __future__ import annotations
@@ -18,7 +19,11 @@ from tidemark.functions.scalars import double_array
 
 # Distinct values that may sit in one aggregation buffer.
 SMALL_DISTINCT = 100_000
-_SKETCH = 10_000
+# Size of a sketch (some 80 kB) and the rank error to allow for on either side of a wanted rank.
+_SKETCH = 4096
+_SLACK = 0.0015
+# Columns that are sketched in the first pass.
+_EARLY = 64
 _HLL_ERROR = 0.05
 _BATCH = 16
 
@@ -49,10 +54,12 @@ def exact_quantiles(
     names = list(exprs)
     aliases = {n: f"_q{i}" for i, n in enumerate(names)}
     values = df.select(*[_clean(exprs[n]).alias(aliases[n]) for n in names])
-    row = values.agg(
-        *[f(F.col(a)).alias(f"{a}_{k}") for a in aliases.values() for k, f in _MEASURES.items()]
-    ).first()
-    sized = {n: {k: row[f"{aliases[n]}_{k}"] for k in _MEASURES} for n in names}
+    measures = dict(_MEASURES)
+    if len(names) <= _EARLY:
+        asked = [q for p in probs for q in (max(0.0, p - _SLACK), min(1.0, p + _SLACK))]
+        measures["sketched"] = lambda c: _sketched(c, asked)
+    row = values.agg(*[f(F.col(a)).alias(f"{a}_{k}") for a in aliases.values() for k, f in measures.items()]).first()
+    sized = {n: {k: row[f"{aliases[n]}_{k}"] for k in measures} for n in names}
     filled = [n for n in names if sized[n]["n"]]
     small = [n for n in filled if _distinct_bound(sized[n]) <= small_distinct]
     large = [n for n in filled if n not in small]
@@ -80,6 +87,12 @@ _MEASURES = {
 }
 
 
+def _sketched(x: Column, shares: list[float]) -> Column:
+    """Values at about these shares of the column; NULL where it has none."""
+    sketch = F.kll_sketch_agg_double(x, F.lit(_SKETCH))
+    return F.when(F.count(x) > 0, F.kll_sketch_get_quantile_double(sketch, double_array(shares)))
+
+
 def _distinct_bound(stats: dict) -> float:
     """Distinct count allowing for the estimate's error."""
     return min(stats["n"], stats["d"] * (1 + 4 * _HLL_ERROR) + 1)
@@ -99,8 +112,14 @@ def _narrow(values, aliases, sized, probs, bound):
             for k in (math.floor(at), math.ceil(at)):
                 ranks.setdefault((n, k), _Rank(n, k, s["lo"], s["hi"], 0, s["n"]))
     pending = list(ranks.values())
+    guess = None
+    if all(sized[n].get("sketched") for n in aliases):
+        guess = {}
+        for i, r in enumerate(pending):
+            near = min(range(len(probs)), key=lambda j: abs(probs[j] * (sized[r.column]["n"] - 1) - r.rank))
+            guess[i] = sized[r.column]["sketched"][2 * near : 2 * near + 2]
     while pending:
-        pending = _shrink(values, aliases, pending, bound)
+        pending, guess = _shrink(values, aliases, pending, bound, guess), None
     _pick(values, aliases, [r for r in ranks.values() if r.value is None])
     out = {}
     for n in aliases:
@@ -119,8 +138,8 @@ def _in(x: Column, r: _Rank) -> Column:
     return (x >= F.lit(r.low)) & (x <= F.lit(r.high))
 
 
-def _shrink(values, aliases, pending, bound):
-    """Shrink every bracket once; return those still too wide."""
+def _guesses(values, aliases, pending) -> dict[int, list[float]]:
+    """A narrower bracket for each rank, from a sketch of the values in its present one."""
     brackets: dict[tuple, list[int]] = {}
     for i, r in enumerate(pending):
         brackets.setdefault((r.column, r.low, r.high), []).append(i)
@@ -129,16 +148,19 @@ def _shrink(values, aliases, pending, bound):
         asked = []
         for i in members:
             r = pending[i]
-            local, slack = r.rank - r.below, 3 / _SKETCH
-            asked += [max(0.0, local / r.inside - slack), min(1.0, (local + 1) / r.inside + slack)]
+            local = r.rank - r.below
+            asked += [max(0.0, local / r.inside - _SLACK), min(1.0, (local + 1) / r.inside + _SLACK)]
         x = F.col(aliases[pending[members[0]].column])
-        inside = F.when(_in(x, pending[members[0]]), x)
-        sketches.append(F.percentile_approx(inside, double_array(asked), _SKETCH).alias(f"s{j}"))
+        sketches.append(_sketched(F.when(_in(x, pending[members[0]]), x), asked).alias(f"s{j}"))
     row = values.agg(*sketches).first()
-    guess = {}
-    for j, members in enumerate(brackets.values()):
-        for k, i in enumerate(members):
-            guess[i] = row[f"s{j}"][2 * k : 2 * k + 2]
+    return {
+        i: row[f"s{j}"][2 * k : 2 * k + 2] for j, members in enumerate(brackets.values()) for k, i in enumerate(members)
+    }
+
+
+def _shrink(values, aliases, pending, bound, guess=None):
+    """Shrink every bracket once; return those still too wide."""
+    guess = guess or _guesses(values, aliases, pending)
     counts = []
     for i, r in enumerate(pending):
         x = F.col(aliases[r.column])
@@ -146,7 +168,6 @@ def _shrink(values, aliases, pending, bound):
         counts += [
             F.count_if(x < F.lit(lo)).alias(f"b{i}"),
             F.count_if((x >= F.lit(lo)) & (x <= F.lit(hi))).alias(f"m{i}"),
-            F.approx_count_distinct(F.when((x >= F.lit(lo)) & (x <= F.lit(hi)), x), _HLL_ERROR).alias(f"d{i}"),
         ]
     seen = values.agg(*counts).first()
     left = []
@@ -156,22 +177,22 @@ def _shrink(values, aliases, pending, bound):
         shrunk = below <= r.rank < below + inside and (lo > r.low or hi < r.high)
         if shrunk:
             r.low, r.high, r.below, r.inside = lo, hi, below, inside
-            distinct = _distinct_bound({"n": inside, "d": seen[f"d{i}"]})
+            held = inside
         elif below > r.rank:
             # The sketch overshot: the rank lies under its lower guess.
             r.high, r.inside = math.nextafter(lo, -math.inf), below - r.below
-            distinct = math.inf
+            held = math.inf
         elif below + inside <= r.rank:
             r.low, r.inside, r.below = math.nextafter(hi, math.inf), r.inside - (below + inside - r.below), below + inside
-            distinct = math.inf
+            held = math.inf
         else:
-            distinct = _distinct_bound({"n": inside, "d": seen[f"d{i}"]})
-            if distinct > bound:
+            held = inside
+            if held > bound:
                 # No progress by sketch: halve the value range, keeping the count exact later.
-                r.high, r.low, distinct = *_halve(values, aliases, r), math.inf
+                r.high, r.low, held = *_halve(values, aliases, r), math.inf
         if r.low == r.high:
             r.value = r.low
-        elif distinct > bound:
+        elif held > bound:
             left.append(r)
     return left
 
