@@ -1,6 +1,7 @@
 """Exact dedup, mixing, URL filter, license scan and chat formatting on odd rows, against plain Python."""
 
 import hashlib
+import random
 import re
 from pathlib import Path
 
@@ -48,6 +49,23 @@ def test_dedup_hot_text_and_empty_table(spark):
     assert exact_dedup(docs_of(spark, [])).collect() == []
 
 
+def test_frequent_digests_are_named_by_a_tree_of_summaries(spark, monkeypatch):
+    from tidemark.llm import exact_dedup as module
+
+    monkeypatch.setattr(module, "FAN_IN", 2)
+    heavy = [f"h{i}" for i in range(8) for _ in range(150)]
+    rows = heavy + [f"t{i}" for i in range(20_000)]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame([(r,) for r in rows], "d string").repartition(9)
+    found = module.frequent_digests(df, "d", 0.005)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and plan.count("approx_top_k_combine(") >= 4
+    got = {r["d"] for r in found.collect()}
+    # 150 of 21,200 rows are more than the support.
+    assert {f"h{i}" for i in range(8)} <= got and len(got) <= 2 / 0.005
+    assert module.frequent_digests(df.limit(0), "d").collect() == []
+
+
 def targets(sizes, weights=(5, 2, 1), share=1.5):
     """Targets by sharing the excess again and again."""
     names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + [s for s in sizes if s is None]
