@@ -33,7 +33,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.window import Window
 
 from tidemark.llm.arrays import NOT_SPACE, expanded, mixed, raw, runs, words
 from tidemark.llm.components import components
@@ -363,10 +362,11 @@ def ngram_jaccard_join(
 
     # Runs of two or more representatives with an equal part sketch.
     kinds = {"n": T.LongType(), "keys": T.ArrayType(T.LongType())}
-    leaders = _sets(_others(texts, copies), n, kinds, part_sketches).where("id IS NOT NULL")
-    shared = F.count(F.lit(1)).over(Window.partitionBy("key"))
-    runs_of = leaders.select("id", "n", F.explode("keys").alias("key")).withColumn("m", shared)
-    members = materialize(runs_of.where("m > 1").select("key", "id", "n"))
+    leaders = materialize(_sets(_others(texts, copies), n, kinds, part_sketches).where("id IS NOT NULL"))
+    runs_of = leaders.select("id", "n", F.explode("keys").alias("key"))
+    # Counted on the map side first, and joined, which Spark can split where many share a key.
+    shared = runs_of.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
+    members = materialize(runs_of.join(shared, "key", "left_semi").select("key", "id", "n"))
     grams = materialize(_candidate_sets(texts, materialize(members.select("id").distinct()), n))
 
     # Stars: every run against one of its members, another one each time.
