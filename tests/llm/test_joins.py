@@ -199,6 +199,50 @@ def test_contamination_with_repeated_items(spark, block_bytes):
     assert listed == {1: ["1", "2", "None"], 2: ["2"], 3: ["1", "2"], 4: []}
 
 
+def brute_matches(rows, items, window=13):
+    """(doc, item, start, item_start, length) of the longest common run of every text and item."""
+    cut = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    out = []
+    for i, text in rows:
+        a = cut.findall((text or "").translate(LOWER))
+        for j, other in items:
+            b = cut.findall((other or "").translate(LOWER))
+            best, ahead = (0, 0, 0), [0] * (len(b) + 1)
+            for p in range(len(a) - 1, -1, -1):
+                now = [0] * (len(b) + 1)
+                for q in range(len(b) - 1, -1, -1):
+                    now[q] = ahead[q + 1] + 1 if a[p] == b[q] else 0
+                    best = max(best, (now[q], -p, -q))
+                ahead = now
+            if b and best[0] >= min(window, len(b)):
+                out.append((i, j, -best[1], -best[2], best[0]))
+    return sorted(map(str, out))
+
+
+@pytest.mark.parametrize("block_bytes, pairs", [(1 << 25, 1 << 20), (300, 1 << 20), (1 << 25, 3)])
+def test_longest_matches_equal_brute_force(spark, monkeypatch, block_bytes, pairs):
+    monkeypatch.setattr(decontaminate, "PAIRS", pairs)
+    rows, items = contaminated_corpus()
+    long = [f"m{i}" for i in range(60)]
+    items = items + [(50, " ".join(long)), (51, "x " * 40), (52, "p q " * 20), (53, " ".join(long[:20] + ["u"] + long[5:30] + long[:14]))]
+    rows = rows + [
+        (900, " ".join(["a"] + long[10:45] + ["b"] + long[3:20])), (901, "x " * 55), (902, "q p " * 25 + "x " * 14), (903, " ".join(long)),
+        (904, " ".join(long[2:20] * 3)), (905, "x " * 12),
+    ]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, matches int").repartition(3)
+    found = contamination(docs, spark.createDataFrame(items, "item_id long, text string"), block_bytes=block_bytes).collect()
+    got = [(r["doc_id"], m["item"], m["start"], m["item_start"], m["length"]) for r in found for m in r["matches"]]
+    assert sorted(map(str, got)) == brute_matches(rows, items)
+    for r in found:
+        assert r["longest"] == max((m["length"] for m in r["matches"]), default=0)
+
+
+def test_repeated_words_give_no_square_of_pairs():
+    made = decontaminate.suffixes_of(["x " * 3000], window=13)
+    _, hits, longest = decontaminate.search(pa.array(["x " * 5000]), made)
+    assert len(hits) == 5000 - 12 and longest.tolist() == [[0, 0, 0, 0, 3000]]
+
+
 def test_contamination_without_items_or_documents(spark):
     rows, items = contaminated_corpus()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
