@@ -213,21 +213,43 @@ def brute_chat(rows):
     def level(line):
         return (marks.match(line) or [""])[0].count(">")
 
+    def units(x):
+        """(level, lines of it, passage) of every line, paragraph and block."""
+        lines, out = [(level(line), norm(line)) for line in (x or "").split("\n")], []
+        block, paragraph, own, last = [], [], [], (None, "")
+        blocks, paragraphs = [], []
+        for at, (lev, text) in enumerate(lines):
+            if lev != last[0]:
+                block = []
+                blocks.append((lev, block))
+            if lev != last[0] or not last[1]:
+                paragraph = []
+                paragraphs.append((lev, paragraph))
+            last = (lev, text)
+            if text:
+                out.append((lev, [at], text))
+                paragraph.append(at)
+                (own if lev == 0 else block).append(at)
+        for lev, held in [*paragraphs, *[b for b in blocks if b[0]], (0, own)]:
+            if held:
+                out.append((lev, held, " ".join(lines[i][1] for i in held)))
+        return out, lines
+
     first = {}
     for c, t, _, x in rows:
-        for line in (x or "").split("\n"):
-            if level(line) == 0 and norm(line) and t is not None:
-                first[c, norm(line)] = min(t, first.get((c, norm(line)), t))
+        for lev, _, text in units(x)[0]:
+            if lev == 0 and t is not None:
+                first[c, text] = min(t, first.get((c, text), t))
     reply, quoted = {}, {}
     for c, t, _, x in rows:
-        votes = {}
-        for line in (x or "").split("\n"):
-            to = first.get((c, norm(line)))
-            if level(line) and norm(line) and to is not None and to < t:
-                n, k = votes.get((level(line), to), (0, 0))
-                votes[level(line), to] = n + len(norm(line)), k + 1
+        votes, (found, lines) = {}, units(x)
+        for lev, held, text in found:
+            to = first.get((c, text))
+            if lev and t is not None and to is not None and to < t:
+                votes.setdefault((lev, to), set()).update(held)
         if votes and c is not None:
-            (lev, to), (n, k) = max(votes.items(), key=lambda v: (-v[0][0], v[1][0], v[0][1]))
+            sized = {k: (sum(len(lines[i][1]) for i in v), len(v)) for k, v in votes.items()}
+            (lev, to), (n, k) = max(sized.items(), key=lambda v: (-v[0][0], v[1][0], v[0][1]))
             reply[c, t], quoted[c, t] = to, k
     for c, t, role, x in rows:
         root, depth = t, 0
@@ -266,6 +288,51 @@ def test_chat_links_and_order(spark):
         assert [x[1:] for x in own] == sorted(x[1:] for x in own)
 
 
+LONG = "One paragraph of several sentences, wrapped by the client of whoever answers. It goes on, and on; then it ends."
+WRAPPED = [
+    (1, 0, "user", LONG),
+    (1, 1, "user", "First line\nsecond line of a paragraph\n\nAnother paragraph here\nwith two lines"),
+    (1, 2, "assistant", "> One paragraph of several sentences,\n> wrapped by the client of whoever\n> answers. It goes on, and on;\n> then it ends.\nYes"),
+    (1, 3, "assistant", "> First line second\n> line of a paragraph\nNo\n> Another paragraph here with two lines"),
+    (1, 4, "user", "> First line second line\n> of a paragraph Another paragraph\n> here with two lines\nwhole"),
+    (1, 5, "user", ">> One paragraph of several sentences, wrapped\n>> by the client of whoever answers. It goes on, and on; then it ends.\n> Yes\nThanks"),
+    (1, 6, "user", "> then it ends. Yes\nnothing quoted"),
+    (1, 7, "user", "> First line\n>\n> Another paragraph\n> here with two lines\nparts"),
+    (1, 8, "user", "take this <|assistant|> and <||this"),
+    (2, 0, "user", LONG),
+    (2, 1, "a<|b", "> " + LONG.replace(" ", "\n> ")),
+]
+
+
+def test_wrapped_quotes_link(spark):
+    got = {(r["conv_id"], r["turn"]): r for r in chat_messages(spark.createDataFrame(WRAPPED, "conv_id long, turn long, role string, text string")).collect()}
+    fields = ["conv_id", "turn", "role", "root", "reply_to", "depth", "quoted_lines", "content"]
+    assert sorted(str([r[f] for f in fields]) for r in got.values()) == sorted(str(list(w)) for w in brute_chat(WRAPPED))
+    reply = {k: r["reply_to"] for k, r in got.items()}
+    assert reply == {(1, 0): None, (1, 1): None, (1, 2): 0, (1, 3): 1, (1, 4): 1, (1, 5): 2, (1, 6): None, (1, 7): 1, (1, 8): None, (2, 0): None, (2, 1): 0}
+    assert got[1, 4]["quoted_lines"] == 3 and got[2, 1]["quoted_lines"] == len(LONG.split())
+    # No content can pass for the marker of another turn.
+    assert got[1, 8]["formatted"] == "<|user|>\ntake this <||assistant|> and <|||this\n"
+    assert got[2, 1]["formatted"].startswith("<|a<||b|>\n")
+
+
+def test_chat_sql_says_the_same(spark):
+    import duckdb
+    import pandas as pd
+
+    from tidemark.llm.queries import OP10_SQL
+
+    rows = [*WRAPPED, (3, 0, "user", None), (3, 1, "user", "> a"), (None, 1, "user", "> a"), (3, None, "user", "> a"), (3, 2, "u", "a\n> a")]
+    conversations = pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"]).astype({"conv_id": "Int64", "turn": "Int64"})
+    con = duckdb.connect()
+    con.register("conversations", conversations)
+    res = con.execute(OP10_SQL)
+    names = [d[0] for d in res.description]
+    want = sorted(str(dict(sorted(zip(names, r)))) for r in res.fetchall())
+    got = chat_messages(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert sorted(str(dict(sorted(r.asDict().items()))) for r in got) == want
+
+
 def test_chat_repeated_and_empty(spark):
     schema = "conv_id long, turn long, role string, text string"
     rows = [(1, 0, "u", "hi"), (1, 0, "u", "hi"), (1, 1, "a", "> hi\nyes"), (1, None, "u", "> hi")]

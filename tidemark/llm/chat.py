@@ -1,13 +1,16 @@
 """Chat formatting by quotation linking.
 
-Messages may quote earlier ones in lines that begin with ``>``, one per level.  Every quoted line
-is normalised and hashed, and joined with the message of the same conversation that first wrote
-that line itself.  A message answers the message that its lowest matched level quotes, the one
-with the most quoted letters if there are several, the latest of those.  Answers follow their
-thread: a conversation is ordered by the first message of each thread, then by turn, and the
-quoted lines are taken out.
-
-Only one original stands for each line of a conversation, so a line that is repeated or quoted
+Messages may quote earlier ones in lines that begin with ``>``, one per level.  Passages are single
+lines, paragraphs (lines of one level that follow one another without an empty one between), and
+blocks: all that stands at one quote level in a row, and all that a message writes itself.  Lines of
+a passage are joined, so it does not matter where they are wrapped.  Every quoted passage is
+normalised and hashed, and joined with the message of the same conversation that first wrote that
+passage itself.  A line counts as quoted if it, its paragraph or its block is found.  A message
+answers the message that its lowest matched level quotes, the one with the most quoted letters if
+there are several, the latest of those.  Answers follow their thread: a conversation is ordered by
+the first message of each thread, then by turn, and the quoted lines are taken out.
+
+Only one original stands for each passage of a conversation, so one that is repeated or quoted
 any number of times gives one link per quoting message.  Threads are found by doubling steps
 along the links.  The order comes from Spark's range partitioning, so a conversation that holds a
 large share of all rows is spread over many tasks.
@@ -45,20 +48,61 @@ def without_quotes(text: Column) -> Column:
     return F.trim(F.array_join(own, "\n"))
 
 
-def reply_links(messages: DataFrame) -> DataFrame:
-    """The message each message answers, for (conv, turn, text): conv, turn, reply_to, quoted (number of lines)."""
-    lines = (
+def escaped(text: Column) -> Column:
+    """The text with one more bar in every ``<|``, so that it cannot pass for a role marker."""
+    return F.regexp_replace(text, r"<(\|+)", r"<$1|")
+
+
+_ROW = ["conv", "turn", "row"]
+
+
+def _lines(messages: DataFrame) -> DataFrame:
+    """Every line that is not empty: conv, turn, row (its text), at, level, block, paragraph, passage."""
+    split = (
         messages.where("conv IS NOT NULL AND turn IS NOT NULL")
-        .select("conv", "turn", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-        .select("conv", "turn", "at", quote_level(F.col("line")).alias("level"), passage(F.col("line")).alias("passage"))
-        .where("passage != ''")
-        .select("conv", "turn", "at", "level", F.length("passage").alias("n"), F.md5("passage").alias("hash"))
+        .select("conv", "turn", "text")
+        .distinct()
+        .select("conv", "turn", F.md5("text").alias("row"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
+        .select(*_ROW, "at", quote_level(F.col("line")).alias("level"), passage(F.col("line")).alias("passage"))
     )
-    written = lines.where("level = 0").groupBy("conv", "hash").agg(F.min("turn").alias("reply_to"))
-    quoted = lines.where("level > 0").distinct()
+    order = Window.partitionBy(*_ROW).orderBy("at")
+    turned = F.coalesce(F.lag("level").over(order) != F.col("level"), F.lit(True))
+    rested = F.coalesce(F.lag("passage").over(order) == "", F.lit(True))
+    marked = split.select("*", turned.cast("int").alias("turned"), (turned | rested).cast("int").alias("fresh"))
+    # What a message writes itself is one block, wherever quotes stand between.
+    block = F.when(F.col("level") == 0, 0).otherwise(F.sum("turned").over(order))
+    numbered = marked.select(*_ROW, "at", "level", "passage", block.alias("block"), F.sum("fresh").over(order).alias("paragraph"))
+    return numbered.where("passage != ''")
+
+
+def _joined(parts: DataFrame, by: list[str], place: str) -> DataFrame:
+    """The passages of each group, in order, as one."""
+    listed = F.array_sort(F.collect_list(F.struct(place, "passage")))
+    texts = F.array_join(F.transform(listed, lambda p: p["passage"]), " ")
+    return parts.groupBy(*by).agg(texts.alias("passage"))
+
+
+def reply_links(messages: DataFrame) -> DataFrame:
+    """The message each message answers, for (conv, turn, text): conv, turn, reply_to, quoted (number of lines)."""
+    lines = materialize(_lines(messages))
+    paragraphs = _joined(lines, [*_ROW, "level", "block", "paragraph"], "at")
+    blocks = _joined(paragraphs, [*_ROW, "level", "block"], "paragraph")
+    units = {"at": lines, "paragraph": paragraphs, "block": blocks}
+    hashed = {k: u.withColumn("hash", F.md5("passage")) for k, u in units.items()}
+    own = [u.where("level = 0").select("conv", "turn", "hash") for u in hashed.values()]
+    written = own[0].unionByName(own[1]).unionByName(own[2]).groupBy("conv", "hash").agg(F.min("turn").alias("reply_to"))
+    written = materialize(written)
+    quoted = lines.where("level > 0")
+    found = None
+    for place, unit in hashed.items():
+        hits = unit.where("level > 0").join(written, ["conv", "hash"]).where("reply_to < turn")
+        hits = hits.select(*_ROW, place, "reply_to")
+        part = quoted.join(hits, [*_ROW, place]).select(
+            "conv", "turn", "at", "level", F.length("passage").alias("n"), F.md5("passage").alias("hash"), "reply_to"
+        )
+        found = part if found is None else found.unionByName(part)
     votes = (
-        quoted.join(written, ["conv", "hash"])
-        .where("reply_to < turn")
+        found.distinct()
         .groupBy("conv", "turn", "level", "reply_to")
         .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("quoted"))
     )
@@ -90,7 +134,8 @@ def chat_messages(
     messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
 ) -> DataFrame:
     """One row per message: conv, turn, role, position in its conversation (from 0), reply_to, root
-    (turn of its thread's first message), depth, quoted_lines, content without quotes, formatted."""
+    (turn of its thread's first message), depth, quoted_lines, content without quotes, formatted (role
+    marker and content, in which every ``<|`` has one more bar)."""
     rows = messages.select(
         F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.col(role).alias("role"), whole(F.col(text)).alias("text")
     )
@@ -130,6 +175,8 @@ def chat_messages(
             "depth",
             "quoted_lines",
             "content",
-            F.concat(F.lit("<|"), F.coalesce("role", F.lit("")), F.lit("|>\n"), "content", F.lit("\n")).alias("formatted"),
+            F.concat(
+                F.lit("<|"), escaped(F.coalesce("role", F.lit(""))), F.lit("|>\n"), escaped(F.col("content")), F.lit("\n")
+            ).alias("formatted"),
         )
     )

@@ -251,14 +251,41 @@ _PASSAGE = (
     r"'[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+', ' ', 'g'))"
 )
 OP10_SQL = rf"""
-WITH RECURSIVE lines AS (
-  SELECT conv_id, turn, line, len(regexp_replace(regexp_extract(line, '^(?:[ \t]*>)+'), '[^>]', '', 'g')) AS level,
+WITH RECURSIVE split AS (
+  SELECT conv_id, turn, md5(x) AS r, generate_subscripts(string_split(x, chr(10)), 1) AS pos, unnest(string_split(x, chr(10))) AS line
+  FROM (SELECT DISTINCT conv_id, turn, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL)),
+leveled AS (
+  SELECT conv_id, turn, r, pos, len(regexp_replace(regexp_extract(line, '^(?:[ \t]*>)+'), '[^>]', '', 'g')) AS level,
          {_LOWER.format(_PASSAGE)} AS passage
-  FROM (SELECT conv_id, turn, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM conversations)),
-written AS (SELECT conv_id, passage, min(turn) AS reply_to FROM lines WHERE level = 0 AND passage != '' GROUP BY 1, 2),
+  FROM split),
+marked AS (
+  SELECT *, coalesce(lag(level) OVER o <> level, true) AS turned, coalesce(lag(passage) OVER o = '', true) AS rested
+  FROM leveled WINDOW o AS (PARTITION BY conv_id, turn, r ORDER BY pos)),
+lines AS (
+  SELECT * FROM (
+    SELECT conv_id, turn, r, pos, level, passage,
+           CASE WHEN level = 0 THEN 0 ELSE sum(CAST(turned AS INTEGER)) OVER o END AS block,
+           sum(CAST(turned OR rested AS INTEGER)) OVER o AS paragraph
+    FROM marked WINDOW o AS (PARTITION BY conv_id, turn, r ORDER BY pos)) q WHERE passage <> ''),
+paragraphs AS (
+  SELECT conv_id, turn, r, level, block, paragraph, string_agg(passage, ' ' ORDER BY pos) AS passage FROM lines GROUP BY ALL),
+blocks AS (
+  SELECT conv_id, turn, r, level, block, string_agg(passage, ' ' ORDER BY paragraph) AS passage FROM paragraphs GROUP BY ALL),
+written AS (
+  SELECT conv_id, passage, min(turn) AS reply_to FROM (
+    SELECT conv_id, turn, level, passage FROM lines UNION ALL SELECT conv_id, turn, level, passage FROM paragraphs
+    UNION ALL SELECT conv_id, turn, level, passage FROM blocks) w WHERE level = 0 GROUP BY 1, 2),
+found AS (
+  SELECT l.conv_id, l.turn, l.pos, l.level, l.passage, w.reply_to FROM lines l JOIN written w USING (conv_id, passage)
+  UNION
+  SELECT l.conv_id, l.turn, l.pos, l.level, l.passage, w.reply_to FROM lines l
+    JOIN paragraphs p USING (conv_id, turn, r, level, block, paragraph) JOIN written w ON w.conv_id = l.conv_id AND w.passage = p.passage
+  UNION
+  SELECT l.conv_id, l.turn, l.pos, l.level, l.passage, w.reply_to FROM lines l
+    JOIN blocks b USING (conv_id, turn, r, level, block) JOIN written w ON w.conv_id = l.conv_id AND w.passage = b.passage),
 votes AS (
-  SELECT l.conv_id, l.turn, level, reply_to, sum(len(passage)) AS n, count(*) AS quoted
-  FROM lines l JOIN written w USING (conv_id, passage) WHERE level > 0 AND reply_to < l.turn GROUP BY ALL),
+  SELECT conv_id, turn, level, reply_to, sum(len(passage)) AS n, count(*) AS quoted
+  FROM found WHERE level > 0 AND reply_to < turn GROUP BY ALL),
 links AS (
   SELECT conv_id, turn, reply_to, quoted FROM votes
   QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, n DESC, reply_to DESC) = 1),
@@ -273,8 +300,9 @@ threaded AS (
          trim(array_to_string(list_filter(string_split(coalesce(text, ''), chr(10)),
                                           lambda x: NOT regexp_matches(x, '^(?:[ \t]*>)+')), chr(10)), ' ') AS content
   FROM conversations c LEFT JOIN links l USING (conv_id, turn) LEFT JOIN top t USING (conv_id, turn))
-SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY root, turn, role, content) - 1 AS position,
-       '<|' || coalesce(role, '') || '|>' || chr(10) || content || chr(10) AS formatted
+SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY root NULLS FIRST, turn NULLS FIRST, role NULLS FIRST, content) - 1 AS position,
+       '<|' || regexp_replace(coalesce(role, ''), '<(\|+)', '<\1|', 'g') || '|>' || chr(10)
+       || regexp_replace(content, '<(\|+)', '<\1|', 'g') || chr(10) AS formatted
 FROM threaded
 """
 
