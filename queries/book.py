@@ -196,24 +196,6 @@ FROM by_order JOIN by_item ON by_order.supp IS NOT DISTINCT FROM by_item.supp
 """
 
 
-@query("book_preaggregated", _PRE_MEASURES)
-def _(spark, sf_dir):
-    """Corrected variant: every item, order and review counts once."""
-    book = build_book(book_tables(spark, sf_dir), [SUPPLIER_DATE], SUPPLIER_SPEC, fanout="preaggregate")
-    return book.select(
-        "seller_id",
-        "qtd_vendas",
-        "qtd_avaliacoes_recebidas",
-        "review_score_medio",
-        "qtd_atraso",
-        "media_dias_atraso",
-        "receita_tot",
-        "preco_medio_produto",
-        "qtd_prod_vend",
-        "qtd_prod_dst_vend",
-    )
-
-
 def preaggregated_sql(dates_cte: str) -> str:
     """All metrics of the supplier book, with every item, order and review counted once."""
     plain = book_sql(dates_cte, "seller_id")
@@ -247,6 +229,19 @@ raw AS (
     return plain[:start] + raw.lstrip() + plain[end:]
 
 
+_PRE_COLUMNS = (
+    "qtd_vendas qtd_avaliacoes_recebidas review_score_medio qtd_atraso media_dias_atraso receita_tot "
+    "preco_medio_produto qtd_prod_vend qtd_prod_dst_vend"
+).split()
+
+
+# All metrics, nine of them from sums per order and per item instead.
+@query(
+    "book_preaggregated",
+    f"""SELECT a.* REPLACE ({", ".join(f"b.{c} AS {c}" for c in _PRE_COLUMNS)})
+        FROM ({preaggregated_sql(_dates_cte([SUPPLIER_DATE]))}) a JOIN ({_PRE_MEASURES}) b
+          ON a.seller_id IS NOT DISTINCT FROM b.seller_id""",
+)
 @query("book_preaggregated_all", preaggregated_sql(_dates_cte([SUPPLIER_DATE])))
 def _(spark, sf_dir):
     """Corrected variant with all metrics."""

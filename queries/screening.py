@@ -70,34 +70,10 @@ def _(spark, sf_dir):
     return rounded(screening.iv_table(_features(spark, sf_dir), "quality"))
 
 
-_ABT_NUMBERS = (
-    "qtd_avaliacoes_recebidas review_score_medio review_score_max review_score_min prop_reviews_positivos "
-    "idade_dias_base idade_meses_base idade_dias_ult_venda meses_ativado perc_tempo_ativado qtd_atraso "
-    "media_dias_atraso receita_tot qtd_vendas preco_medio_produto frete_medio receita_frete_total "
-    "tkt_med_venda tkt_med_venda_mes qtd_prod_vend qtd_prod_dst_vend med_prod_por_vendas qtd_brand_1 qtd_outros"
-).split()
 _ABT_TEXTS = ["seller_city", "seller_state"]
 
-
-@query(
-    "iv_table_abt",
-    _iv_sql(f"f AS MATERIALIZED ({abt_sql()}), {counts_sql(_ABT_NUMBERS, _ABT_TEXTS, 'flag_churn_3m')}"),
-)
-def _(spark, sf_dir):
-    """Information value of the book's variables; those with a single bin are left out."""
-    abt = materialize(customer_abt(spark, sf_dir).select(*_ABT_TEXTS, *_ABT_NUMBERS, "flag_churn_3m"))
-    total = screening.woe_table(abt, "flag_churn_3m").groupBy("feature").agg(F.sum("iv").alias("iv"))
-    return rounded(
-        total.select(
-            F.col("feature").alias("Variavel"),
-            F.col("iv").alias("IV"),
-            screening.strength(F.col("iv")).alias("Preditividade"),
-        )
-    )
-
-
 # All metrics of the book.
-_BOOK_NUMBERS = (
+BOOK_NUMBERS = (
     "qtd_avaliacoes_recebidas review_score_medio review_score_max review_score_min prop_reviews_positivos "
     "prop_reviews_negativos idade_dias_base idade_meses_base idade_dias_ult_venda meses_ativado perc_tempo_ativado "
     "qtd_atraso prop_atraso media_dias_atraso med_dias_entrega_estimada receita_tot qtd_vendas preco_medio_produto "
@@ -106,13 +82,14 @@ _BOOK_NUMBERS = (
 ).split() + [*["qtd_" + b.lower().replace("#", "_") for b in BRANDS], "qtd_outros"]
 
 
-@query(
-    "iv_table_abt_all",
-    f"""SELECT v AS "Variavel", coalesce("IV", 0.0::DOUBLE) AS "IV", coalesce("Preditividade", 'Inútil para a predição') AS "Preditividade"
-        FROM (SELECT unnest([{", ".join(f"'{c}'" for c in _ABT_TEXTS + _BOOK_NUMBERS)}]) AS v) names
-        LEFT JOIN ({_iv_sql(f"f AS MATERIALIZED ({abt_sql()}), {counts_sql(_BOOK_NUMBERS, _ABT_TEXTS, 'flag_churn_3m')}")}) found
-        ON v = "Variavel\"""",
-)
+_IV_ABT = f"""SELECT v AS "Variavel", coalesce("IV", 0.0::DOUBLE) AS "IV", coalesce("Preditividade", 'Inútil para a predição') AS "Preditividade"
+        FROM (SELECT unnest([{", ".join(f"'{c}'" for c in _ABT_TEXTS + BOOK_NUMBERS)}]) AS v) names
+        LEFT JOIN ({_iv_sql(f"f AS MATERIALIZED ({abt_sql()}), {counts_sql(BOOK_NUMBERS, _ABT_TEXTS, 'flag_churn_3m')}")}) found
+        ON v = "Variavel\""""
+
+
+@query("iv_table_abt", _IV_ABT)
+@query("iv_table_abt_all", _IV_ABT)
 def _(spark, sf_dir):
     """Information value of every variable of the base table; one with a single bin scores zero."""
     abt = materialize(customer_abt(spark, sf_dir))

@@ -35,7 +35,9 @@ class BookSpec:
     """Column names and constants of a book.
 
     ``entity_on`` tells which table carries the entity key: the items (sellers) or the orders
-    (customers).  Orders, products and reviews must be unique on their keys; the loader sees to it.
+    (customers).  Money is summed in whole units of ``10**-money_scale``, so that sums do not depend on
+    the order of rows; digits below a millionth are dropped by default.  Orders, products and reviews
+    must be unique on their keys; the loader sees to it.
     """
 
     entity: str = "seller_id"
@@ -57,7 +59,7 @@ class BookSpec:
     categories: tuple[str, ...] = NAMED_CATEGORIES
     category_columns: dict[str, str] = field(default_factory=dict)
     window_months: int = 6
-    money_scale: int = 2
+    money_scale: int = 6
 
     def category_column(self, category: str) -> str:
         return self.category_columns.get(category, f"qtd_{category}")
