@@ -340,3 +340,21 @@ def test_chat_repeated_and_empty(spark):
     assert sorted(r["position"] for r in got) == [0, 1, 2, 3]
     assert {(r["turn"], r["reply_to"]) for r in got} == {(0, None), (1, 0), (None, None)}
     assert chat_messages(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_license_sql_says_the_same_of_full_texts(spark):
+    import duckdb
+    import pandas as pd
+
+    from tidemark.llm.queries import OP8_SQL
+
+    rows = [(i, text) for i, (_, text) in enumerate([*licenses.license_texts(), *licenses.KNOWN])] + [(900, None), (901, "no license")]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    res = con.execute(OP8_SQL)
+    names = [d[0] for d in res.description]
+    want = sorted(str(dict(sorted(zip(names, r)))) for r in res.fetchall())
+    found = license_scan(spark.createDataFrame(rows, "doc_id long, text string"), licenses.known_licenses(spark))
+    got = found.withColumn("line_licenses", F.array_join("line_licenses", ",")).collect()
+    assert sorted(str(dict(sorted(r.asDict().items()))) for r in got) == want
+    assert all(r["license"] for r in got if r["doc_id"] < 900)

@@ -10,7 +10,7 @@ from tidemark.llm.chat import chat_messages
 from tidemark.llm.decontaminate import contamination, is_contaminated
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.lexical import TOP, ranked_search
-from tidemark.llm.licenses import COPYRIGHT_LINE, KNOWN, SIGNS, SPELLINGS, known_licenses, license_scan
+from tidemark.llm.licenses import COPYRIGHT_LINE, KNOWN, SIGNS, SPELLINGS, known_licenses, license_scan, license_texts
 from tidemark.llm.mixing import weighted_mix
 from tidemark.llm.ngram_join import ngram_jaccard_join
 from tidemark.llm.quality import is_held_out, score, train
@@ -227,7 +227,7 @@ def _canonical_sql(text: str) -> str:
 
 
 OP8_SQL = f"""
-WITH listed(license, text) AS (VALUES {", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in KNOWN)}),
+WITH listed(license, text) AS (VALUES {", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in [*KNOWN, *license_texts()])}),
 known AS (SELECT sha256({_canonical_sql("text")}) AS digest, min(license) AS license FROM listed GROUP BY 1),
 lines AS (
   SELECT doc_id, sha256({_canonical_sql("line")}) AS digest
