@@ -170,6 +170,18 @@ def test_permutation_equals_scoring_every_row_anew(spark, abt):
         assert got[features[f]] == pytest.approx(np.mean(losses), abs=1e-9)
 
 
+def test_permutation_of_other_models_agrees(abt, monkeypatch):
+    """The general way, on boosted trees too, gives what the stored margins give."""
+    features = ["idle", "noise"]
+    model = modeling.fit_boosting(abt, features, TARGET, {"maxIter": 3, "maxDepth": 3})
+    fast = {r.feature: r.importance for r in modeling.permutation_importance(abt, model, features, TARGET, KEY, repeats=2).collect()}
+    monkeypatch.setattr(modeling, "boosted_trees", lambda model: None)
+    slow = {r.feature: r.importance for r in modeling.permutation_importance(abt, model, features, TARGET, KEY, repeats=2).collect()}
+    assert fast["idle"] == pytest.approx(slow["idle"], abs=1e-9)
+    forest = modeling.candidates(TARGET)["DecisionTreeClassifier"].fit(modeling.assemble(abt, features))
+    assert modeling.permutation_importance(abt, forest, features, TARGET, KEY, repeats=1).first().feature == "idle"
+
+
 def test_registered_search_does_not_watch_the_clock(spark, abt, monkeypatch):
     """With a clock that leaps an hour at each look, all trials up to the patience still run."""
     aucs = iter([0.6, 0.7] + [0.5] * 60)

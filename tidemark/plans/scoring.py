@@ -91,11 +91,16 @@ def score_latest(
     scored_on: date | None = None,
 ) -> DataFrame:
     """(key..., SCORE, DATA_SCORE) of the newest vintage, highest score first."""
+    return latest_scores(abt, scorer, key, scored_on).orderBy(F.col("SCORE").desc(), *key)
+
+
+def latest_scores(abt: DataFrame, scorer, key: list[str], scored_on: date | None = None) -> DataFrame:
+    """(key..., SCORE, DATA_SCORE) of the newest vintage, in no order."""
     prep, selected, model = scorer
     rows = prep.transform(latest_vintage(abt), key)
     day = F.lit(scored_on) if scored_on else F.current_date()
     scored = probability(assemble(rows, selected), model)
-    return scored.select(*key, "SCORE", day.alias("DATA_SCORE")).orderBy(F.col("SCORE").desc(), *key)
+    return scored.select(*key, "SCORE", day.alias("DATA_SCORE"))
 
 
 def score_job(
@@ -106,6 +111,6 @@ def score_job(
     Under a ``run`` name the job may be repeated without adding rows.
     """
     spark = abt.sparkSession
-    scores = score_latest(abt, load_scorer(spark, root), key, scored_on)
+    scores = latest_scores(abt, load_scorer(spark, root), key, scored_on)
     append_scores(scores, f"{root}/tb_scoring", run=run)
     return spark.read.parquet(f"{root}/tb_scoring")

@@ -46,12 +46,19 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "tidem
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder named by ``spark.checkpoint.dir``; where that is unset, one in the
-    warehouse, which driver and executors share as well."""
+    warehouse, unless that is a folder of the driver's machine and executors run on others."""
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints")
+    if not shared:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if (warehouse.startswith("file:") or "://" not in warehouse) and not sc.master.startswith("local"):
+            default = spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+            if warehouse.startswith("file:") or default.startswith("file:"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = f"{warehouse}/checkpoints"
+    sc.setCheckpointDir(shared)
 
 
 def materialize(df: DataFrame) -> DataFrame:
