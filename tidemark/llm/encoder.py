@@ -14,6 +14,8 @@ encoded.  ``tests/llm`` compares both with encoding whole texts.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import json
 import os
 from collections.abc import Iterator
@@ -27,7 +29,7 @@ from tidemark.llm.arrays import LOWER, byte_hashes, expanded, raw
 # Pieces a worker remembers (some 40 bytes each) before it starts afresh.
 REMEMBERED = 400_000
 # Bytes of text handled at once, so that memory does not follow the size of Arrow's batches.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 # The normaliser and pre-tokenizer for which pieces can be encoded one by one.
 _NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -75,8 +77,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             stop = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(at, stop - at)
             at = stop
-    # Workers outlive their tasks: what the task held goes back to the system.
+    give_back()
+
+
+def give_back() -> None:
+    """Return free memory to the system: workers outlive their tasks, and several share a machine."""
     pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)  # in glibc only
 
 
 def cuts_words(path: str) -> bool:

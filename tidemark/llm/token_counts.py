@@ -27,7 +27,7 @@ from tidemark.llm.encoder import WordEncoder, slices, with_end
 BLOCK_IDS = 1 << 17
 # Less than elsewhere: the scan's workers stand beside the writer's.
 REMEMBERED = 350_000
-SLICE_BYTES = 3 << 19
+SLICE_BYTES = 1 << 20
 CHUNK = 1024
 
 
