@@ -193,6 +193,12 @@ def test_band_tables(skewed, pdf):
         evaluate.band_table(df, "x", "y", 5, binning="other")
 
 
+def test_tree_bins_of_counts_whose_product_passes_an_int(spark):
+    df = spark.range(100_000).select(F.col("id").alias("x"), (F.col("id") >= 60_000).cast("int").alias("y"))
+    got = sorted(treebins.tree_bins(df, 2, "y", "x").collect())
+    assert [tuple(r) for r in got] == [(0, 0.0, 60_000, -math.inf, 59_999.0), (1, 1.0, 40_000, 60_000.0, math.inf)]
+
+
 def test_tree_bins_match_brute_force(spark):
     rng = random.Random(11)
     data = [(float(x), int(rng.random() < (0.2 if x < 8 else 0.8 if x < 15 else 0.4))) for x in [rng.randint(0, 20) for _ in range(500)]]

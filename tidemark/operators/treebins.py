@@ -62,8 +62,12 @@ def tree_bins(
 
 
 def _impurity(n, e):
-    """Rows times gini index; the constant factor 2 is left out."""
-    return e * (n - e) / n.cast("double")
+    """Rows times gini index; the constant factor 2 is left out.
+
+    The product of two counts is a whole number of any size, also where both counts are literals.
+    """
+    events, others = e.cast("decimal(19,0)"), (n - e).cast("decimal(19,0)")
+    return (events * others).cast("double") / n.cast("double")
 
 
 def _find_cuts(steps: DataFrame, leaves: list[_Leaf]) -> None:
