@@ -477,6 +477,13 @@ def test_levels_by_the_hundred_thousand(spark):
     assert {i: h.toArray().tolist() for i, (_, h) in got.items()} == {1: [0.0], 2: [1.0], 3: [0.0], 4: [1.0]}
 
 
+def test_levels_are_not_named_in_the_schema(spark):
+    df = spark.range(50_000).select(F.format_string("k%d", "id").alias("k"))
+    coded = encode.one_hot_vectors(df, ["k"], encode.level_table(df, ["k"]))
+    assert len(coded.schema.json()) < 10_000
+    assert coded.schema["k"].metadata["ml_attr"]["num_attrs"] == 50_000
+
+
 def test_encodings_of_many_columns_take_no_more_jobs(spark):
     df = spark.range(300).select(
         (F.col("id") % 2).alias("y"), (F.col("id") % 5).alias("fold"), *[(F.col("id") % (i + 3)).cast("string").alias(f"c{i}") for i in range(9)]

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import OneHotEncoder
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.operators.binning import numeric_columns, text_columns
 from tidemark.operators.quantiles import exact_quantiles
@@ -47,16 +47,26 @@ def one_hot_vectors(df: DataFrame, columns: list[str], levels: DataFrame) -> Dat
     sizes = [counts.get(c, 0) for c in columns]
     index = [f"_i{i}" for i in range(len(columns))]
     out = df
-    for c, i, n in zip(columns, index, sizes):
-        lookup = levels.where(F.col("feature") == c).select(F.col("level").alias("_level"), F.col("position").alias("_at"))
+    for c, i in zip(columns, index):
+        lookup = levels.where(F.col("feature") == c).select(F.col("level").alias("_level"), F.col("position").alias(i))
         joined = out.join(lookup, F.col(c).cast("string") == F.col("_level"), "left")
-        out = joined.select(*out.columns, F.coalesce("_at", F.lit(n)).cast("double").alias(i))
-    # The place after the last level is that of unknown values, and is dropped.
-    seen = df.sparkSession.createDataFrame([[float(n) for n in sizes]], ", ".join(f"{i} double" for i in index))
-    vectors = [f"_v{i}" for i in range(len(columns))]
-    coded = OneHotEncoder(inputCols=index, outputCols=vectors, dropLast=True).fit(seen).transform(out)
-    named = dict(zip(columns, vectors))
-    return coded.select(*[F.col(named[c]).alias(c) if c in named else F.col(c) for c in df.columns])
+        out = joined.select(*out.columns, i)
+    vectors = {c: _one_place(F.col(i), n) for c, i, n in zip(columns, index, sizes)}
+    # Only the number of levels is noted in the schema, not a name for each of them.
+    return out.select(
+        *[vectors[c].alias(c, metadata={"ml_attr": {"num_attrs": counts.get(c, 0)}}) if c in vectors else F.col(c) for c in df.columns]
+    )
+
+
+def _one_place(place: Column, size: int) -> Column:
+    """Sparse vector with a one at ``place``; all zero where that is NULL.
+
+    ``OneHotEncoder`` would name every place in the schema, which the driver holds.
+    """
+    index = F.coalesce(place.cast("string"), F.lit(""))
+    value = F.when(place.isNull(), "").otherwise("1.0")
+    text = F.concat(F.lit(f'{{"v":{{"type":0,"size":{size},"indices":['), index, F.lit('],"values":['), value, F.lit("]}}"))
+    return F.from_json(text, T.StructType([T.StructField("v", VectorUDT())]), {"mode": "FAILFAST"})["v"]
 
 
 def save_levels(df: DataFrame, columns: list[str], path: str) -> DataFrame:
