@@ -477,6 +477,31 @@ def test_levels_by_the_hundred_thousand(spark):
     assert {i: h.toArray().tolist() for i, (_, h) in got.items()} == {1: [0.0], 2: [1.0], 3: [0.0], 4: [1.0]}
 
 
+def test_target_counts_of_numbers_multiply_no_rows(spark, capsys):
+    rng = random.Random(3)
+    values = [None, math.nan, -0.0, 0.0, 1.0, 2.5, math.inf, -math.inf, 7.0]
+    rows = [(rng.choice(values), rng.randint(0, 3), rng.choice("uv"), rng.choice([0, 1, 1, None])) for _ in range(500)]
+    df = spark.createDataFrame(rows, "a double, b int, c string, y int").repartition(3).cache()
+    fitted = {"a": binning.Bins((-math.inf, 0.0, 2.0, math.inf)), "b": binning.Bins((0.0, 1.0, 3.0)), "flat": binning.Bins(())}
+    df = df.withColumn("flat", F.lit(1))
+    got = screening.target_counts(df, "y", fitted, ["c"])
+    want = {}
+    for a, b, c, y in rows:
+        if y is None:
+            continue
+        cells = [("b", str(sum(e < b for e in (1.0,)))), ("c", c)]
+        if a is not None and not math.isnan(a):
+            cells.append(("a", str(sum(e < a for e in (0.0, 2.0)))))
+        for cell in cells:
+            n, n1 = want.get(cell, (0, 0))
+            want[cell] = n + 1, n1 + y
+    assert {(r.feature, r.value): (r.n, r.n1) for r in got.collect()} == want
+    assert not screening.target_counts(df, "y", {"flat": fitted["flat"]}, []).collect()
+    # The rows of the numbers are not expanded to one per column.
+    screening.target_counts(df, "y", fitted, []).explain()
+    assert "Expand" not in capsys.readouterr().out
+
+
 def test_levels_are_not_named_in_the_schema(spark):
     df = spark.range(50_000).select(F.format_string("k%d", "id").alias("k"))
     coded = encode.one_hot_vectors(df, ["k"], encode.level_table(df, ["k"]))

@@ -11,6 +11,8 @@ from tidemark.operators.binning import Bins, numeric_columns, quantile_bins, tex
 from tidemark.operators.dedupe import keep_last
 from tidemark.operators.ordered import running_totals
 from tidemark.operators.profile import feature_stats
+from tidemark.operators.tally import bin_tallies
+from tidemark.session import materialize
 
 # Strength classes by upper bound of the information value.
 STRENGTH = (
@@ -32,21 +34,32 @@ def value_ranges(df: DataFrame, target: str, bins: int = 10) -> tuple[dict[str,
 
 
 def target_counts(df: DataFrame, target: str, fitted: dict[str, Bins], texts: list[str]) -> DataFrame:
-    """(feature, value, lo, hi, n, n1) over all variables, from one aggregation.
+    """(feature, value, lo, hi, n, n1) over all variables: numbers in one scan, texts in one aggregation.
 
     ``value`` is the text value, or the bin number of a numeric column.  Missing values and
     rows without a target are left out.
     """
-    y = F.col(target).cast("bigint").alias("y")
-    coded = [b.index(F.col(c)).cast("string").alias(c) for c, b in fitted.items()]
-    coded += [F.col(c).cast("string").alias(c) for c in texts]
-    names = list(fitted) + list(texts)
-    tall = df.where(F.col(target).isNotNull()).select(y, *coded).unpivot(["y"], names, "feature", "value")
-    counted = (
-        tall.where(F.col("value").isNotNull())
-        .groupBy("feature", "value")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("n1"))
-    )
+    known = df.where(F.col(target).isNotNull())
+    filled = [c for c, b in fitted.items() if b.count]
+    parts = []
+    if filled:
+        edges = [list(fitted[c].edges[1:-1]) for c in filled]
+        tallies = bin_tallies(known, F.col(target), [F.col(c) for c in filled], edges)
+        name = F.get(F.array(*map(F.lit, filled)), F.col("place")).alias("feature")
+        parts.append(tallies.select(name, F.col("bin").cast("string").alias("value"), "n", "n1"))
+    if texts or not filled:
+        y = F.col(target).cast("bigint").alias("y")
+        # A column with one value only has no bin.
+        none = [F.lit(None).cast("string").alias(c) for c in fitted] if not filled else []
+        coded = none + [F.col(c).cast("string").alias(c) for c in texts]
+        names = ([] if filled else list(fitted)) + list(texts)
+        tall = known.select(y, *coded).unpivot(["y"], names, "feature", "value")
+        parts.append(
+            tall.where(F.col("value").isNotNull())
+            .groupBy("feature", "value")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("n1"))
+        )
+    counted = reduce(DataFrame.unionByName, parts)
     return counted.select(
         "feature", "value", _edge(fitted, 0).alias("lo"), _edge(fitted, 1).alias("hi"), "n", "n1"
     )
@@ -66,6 +79,8 @@ def _edge(fitted: dict[str, Bins], shift: int) -> Column:
 
 
 def _with_totals(counts: DataFrame) -> DataFrame:
+    # Read twice, and far smaller than the rows it was counted from.
+    counts = materialize(counts)
     totals = counts.groupBy("feature").agg(F.sum("n").alias("t_n"), F.sum("n1").alias("t_1"))
     # One row per column of the input.
     return counts.join(F.broadcast(totals), "feature")
