@@ -10,7 +10,7 @@ from queries.registry import query, sql_round
 from tidemark.plans.book import build_book
 from tidemark.plans.label import build_abt, label_inactivity, monthly_activity
 from tidemark.plans.spec import month_starts
-from tidemark.session import shared_path
+from tidemark.session import configure_wide, shared_path
 from tidemark.sources.fixtures import BRANDS, CUSTOMER_SPEC, SUPPLIER_SPEC, book_tables, table
 from tidemark.sources.loading import table_counts
 from tidemark.sources.tables import latest_vintage
@@ -154,7 +154,7 @@ def supplier_book(spark, sf_dir):
 
 
 def customer_abt(spark, sf_dir):
-    tables = book_tables(spark, sf_dir, "customer")
+    tables = book_tables(configure_wide(spark), sf_dir, "customer")
     return build_abt(tables, ABT_DATES, CUSTOMER_SPEC)
 
 

@@ -9,7 +9,7 @@ from queries.registry import ORACLES, query
 from tidemark.operators.encode import apply_saved_levels, apply_saved_one_hot, one_hot_and_save, save_levels
 from tidemark.plans.book import build_book
 from tidemark.plans.jobs import abt_job, book_increment_job, book_job, store_tables
-from tidemark.session import shared_path
+from tidemark.session import configure_wide, shared_path
 from tidemark.sources.fixtures import book_tables, table
 from tidemark.sources.loading import append_table, load_table
 
@@ -73,7 +73,7 @@ def _(spark, sf_dir):
 @query("abt_stored", ORACLES["abt_customer"])
 def _(spark, sf_dir):
     """The base table from a stored book."""
-    tables, path = book_tables(spark, sf_dir, "customer"), shared_path(spark)
+    tables, path = book_tables(configure_wide(spark), sf_dir, "customer"), shared_path(spark)
     book_job(tables, ABT_DATES, path, CUSTOMER_SPEC)
     return abt_job(spark, tables, path, shared_path(spark), CUSTOMER_SPEC)
 

@@ -255,6 +255,13 @@ def _stored(spark, entity, spec):
     return store_tables(book_tables(spark, SF, entity), path, spec, 4, f"book_{path[-8:]}")
 
 
+def test_base_table_is_dealt_into_many_small_shares(spark):
+    QUERIES["abt_customer"](spark, SF)
+    assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 1024
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "8MB"
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 4
+
+
 @pytest.mark.parametrize("entity, spec", [("supplier", SUPPLIER_SPEC), ("customer", CUSTOMER_SPEC)])
 def test_increments_equal_the_full_build(spark, entity, spec):
     tables = _stored(spark, entity, spec)
