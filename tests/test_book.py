@@ -1,6 +1,7 @@
 """Hand-made cases of the feature book, the label and the vintage tables."""
 
 import re
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
@@ -255,6 +256,22 @@ def _stored(spark, entity, spec):
     return store_tables(book_tables(spark, SF, entity), path, spec, 4, f"book_{path[-8:]}")
 
 
+def test_orders_are_computed_once_for_the_stored_tables(spark):
+    tables = book_tables(spark, SF)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def status(text):
+        seen.add(1)
+        return text
+
+    orders = materialize(tables.orders)
+    looked = orders.withColumn("order_approved_at", F.when(status("order_status").isNotNull(), F.col("order_approved_at")))
+    path = shared_path(spark)
+    store_tables(replace(tables, orders=looked), path, SUPPLIER_SPEC, 4, f"book_{path[-8:]}")
+    assert seen.value == orders.count()
+
+
 def test_base_table_is_dealt_into_many_small_shares(spark):
     QUERIES["abt_customer"](spark, SF)
     assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 1024

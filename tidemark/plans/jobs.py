@@ -35,19 +35,23 @@ def store_tables(
     reviews get their order's approval time, and all files are sorted by it, so that a build of
     recent vintages skips the row groups of earlier orders in all three.
     """
-    approved = tables.orders.select(spec.order_id, spec.approved)
+
+    def written(name: str, frame: DataFrame) -> DataFrame:
+        order = [spec.approved, spec.order_id]
+        return write_bucketed(frame, f"{prefix}_{name}", f"{path}/{name}", spec.order_id, buckets, order)
+
+    orders = written("orders", tables.orders)
+    # From the stored orders, so that the frame they came from is computed once.
+    approved = orders.select(spec.order_id, spec.approved)
 
     def dated(df: DataFrame) -> DataFrame:
         return df if spec.approved in df.columns else df.join(approved, spec.order_id, "left")
 
     stored = {
-        name: write_bucketed(
-            frame, f"{prefix}_{name}", f"{path}/{name}", spec.order_id, buckets, [spec.approved, spec.order_id]
-        )
-        for name, frame in {
-            "orders": tables.orders, "items": dated(tables.items), "reviews": dated(tables.reviews)
-        }.items()
-    }
+        "orders": orders,
+        "items": written("items", dated(tables.items)),
+        "reviews": written("reviews", dated(tables.reviews)),
+    }
     return replace(tables, **stored)
 
 
