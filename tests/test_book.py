@@ -1,6 +1,7 @@
 """Hand-made cases of the feature book, the label and the vintage tables."""
 
 import re
+import time
 from dataclasses import replace
 from datetime import date, datetime
 
@@ -208,6 +209,26 @@ def test_rerun_leaves_the_table_unchanged_and_append_does_not(spark, tmp_path):
     assert read_vintages(spark, book).count() > n
 
 
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def test_stored_book_and_base_table_leave_no_shuffle_files(spark, tmp_path):
+    tables = book_tables(spark, SF, "customer")
+    dates = month_starts(date(1997, 1, 1), date(1997, 3, 1))
+    built, before = build_abt(tables, dates, CUSTOMER_SPEC).collect(), _shuffle_files(spark)
+    path = str(tmp_path / "book")
+    book_job(tables, dates, path, CUSTOMER_SPEC)
+    done = abt_job(spark, tables, path, str(tmp_path / "abt"), CUSTOMER_SPEC)
+    until = time.monotonic() + 20
+    while (left := _shuffle_files(spark) - before) and time.monotonic() < until:
+        time.sleep(0.2)  # they are removed behind the job
+    assert not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert sorted(map(str, done.select(*built[0].__fields__).collect())) == sorted(map(str, built))
+
+
 def test_latest_vintage_prunes_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(10).withColumn("dt_ref", F.expr("date_add(DATE'2018-01-01', CAST(id AS int))"))

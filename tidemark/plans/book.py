@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.scalars import count_below
 from tidemark.plans.spec import BookSpec, shift_months
+from tidemark.session import materialize
 
 # Grain of an aggregate row.
 _NO_ITEM, _BY_ORDER, _BY_PRODUCT = 0, 1, 2
@@ -138,6 +139,7 @@ def build_book(
     null_entity: bool = True,
     first_sales: DataFrame | None = None,
     since: date | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """Feature book at grain (entity, dt_ref).
 
@@ -148,6 +150,9 @@ def build_book(
     Beyond the windows only an entity's first sale matters.  With ``first_sales`` (entity, first_at),
     which cover all orders before some day, orders before ``since`` are not read; it must lie neither
     after that day nor after the start of any window.
+
+    ``stored`` writes the sums per entity and segment to the shared folder first, so that the joins
+    before them and the wide rows behind them are on disk in different jobs.
     """
     if fanout not in ("reference", "preaggregate"):
         raise ValueError(f"unknown fanout {fanout!r}")
@@ -166,7 +171,8 @@ def build_book(
     parts = _item_facts(tables, orders, line, spec, fanout)
     if null_entity or spec.entity_on == "orders":
         parts = parts.unionByName(_itemless_facts(tables, line, spec), allowMissingColumns=True)
-    metrics = _per_vintage(parts, line, spec, first_sales)
+    placed = _per_segment(parts, line, len(spec.categories))
+    metrics = _per_vintage(materialize(placed) if stored else placed, line, spec, first_sales)
     return _with_geo(metrics, tables.geo, spec)
 
 
@@ -376,7 +382,7 @@ def _per_segment(parts: DataFrame, line: Timeline, categories: int) -> DataFrame
     )
 
 
-def _per_vintage(parts: DataFrame, line: Timeline, spec: BookSpec, known: DataFrame | None = None) -> DataFrame:
+def _per_vintage(segments: DataFrame, line: Timeline, spec: BookSpec, known: DataFrame | None = None) -> DataFrame:
     """Expand segment sums to reference dates and finish the metrics.
 
     The segment sums are placed by entity once; grouping by date and the first sale over the
@@ -387,7 +393,7 @@ def _per_vintage(parts: DataFrame, line: Timeline, spec: BookSpec, known: DataFr
     per_category = [
         f"coalesce(sum(c_{i}), 0L) AS `{spec.category_column(c)}`" for i, c in enumerate(spec.categories, 1)
     ]
-    total = parts.sparkSession.sql(
+    total = segments.sparkSession.sql(
         f"""
         SELECT *, min(seen_at) OVER (PARTITION BY entity) AS first_at FROM (
           SELECT entity, vintage.dt_ref AS dt_ref, min(first_at) AS seen_at, max(last_at) AS last_at,
@@ -400,7 +406,7 @@ def _per_vintage(parts: DataFrame, line: Timeline, spec: BookSpec, known: DataFr
           FROM (SELECT *, explode_outer(get({line.covering()}, segment)) AS vintage FROM {{placed}})
           GROUP BY entity, vintage.dt_ref)
         """,
-        placed=_per_segment(parts, line, len(spec.categories)).repartition("entity"),
+        placed=segments.repartition("entity"),
     )
     if known is not None:
         earlier = known.selectExpr("entity", "first_at AS known_at")

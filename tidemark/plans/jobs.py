@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.plans.book import BookTables, build_book, first_sales
 from tidemark.plans.label import label_inactivity
 from tidemark.plans.spec import BookSpec, shift_months
+from tidemark.session import shuffles_removed
 from tidemark.sources.tables import path_exists, read_vintages, write_bucketed, write_vintages
 
 
@@ -21,9 +22,14 @@ def book_job(
     mode: str = "replace",
     fanout: str = "reference",
 ) -> DataFrame:
-    """Build the book of the given dates, write their partitions and return the whole table."""
-    write_vintages(build_book(tables, dates, spec, fanout), path, mode=mode)
-    return read_vintages(tables.orders.sparkSession, path)
+    """Build the book of the given dates, write their partitions and return the whole table.
+
+    Two jobs, one up to the sums per segment and one that expands them; neither leaves its shuffles behind.
+    """
+    spark = tables.orders.sparkSession
+    with shuffles_removed(spark):
+        write_vintages(build_book(tables, dates, spec, fanout, stored=True), path, mode=mode)
+    return read_vintages(spark, path)
 
 
 def store_tables(
@@ -106,5 +112,6 @@ def abt_job(
     if dates is not None:
         # Prunes the partitions that are read.
         book = book.where(F.col("dt_ref").isin(dates))
-    write_vintages(label_inactivity(book, tables, spec, null_entity=null_entity), path, mode=mode)
+    with shuffles_removed(spark):
+        write_vintages(label_inactivity(book, tables, spec, null_entity=null_entity), path, mode=mode)
     return read_vintages(spark, path)
